@@ -1,0 +1,234 @@
+"""Remove the rows at or above a campaign's cutoffs from every table of a purge group.
+
+For each table, the files fall into three kinds:
+
+* no row at or above the cutoff: the file stays in the table as it is,
+* nothing but such rows: the file is left out of the new version,
+* both: its surviving rows are written to a new file, in their order and without a shuffle.
+
+So a purge of the tail of a table that grew in id order rewrites the few files around the cutoff,
+whatever the size of the table. Old files are never touched.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import quote
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
+
+from tailtrim.operators.lookup import Cutoffs
+from tailtrim.operators.removal import doomed, survivors
+from tailtrim.plans.groups import PurgeGroup
+from tailtrim.sources import published
+from tailtrim.sources.campaign import Campaign
+
+REPORT_SCHEMA = "target string, key string, cutoff double, removed bigint, kept bigint"
+
+# Tables of one atomic group that are rewritten at the same time.
+CONCURRENT_REWRITES = 4
+
+
+@dataclass(frozen=True)
+class _Target:
+    """One table to purge: its live files and the name its key column has in them."""
+
+    table: str
+    key: str
+    stored_key: str
+    cutoff: float
+    scans: list[published.Scan]
+
+    @property
+    def schema(self):
+        return self.scans[0].rows.schema
+
+
+def purge(
+    spark: SparkSession,
+    campaign: Campaign,
+    group: PurgeGroup,
+    cutoffs: Cutoffs,
+    atomic: bool | None = None,
+    dry_run: bool = False,
+) -> DataFrame:
+    """Purge a group and report ``target, key, cutoff, removed, kept`` per table.
+
+    ``atomic`` overrides the group's own rule: all tables are published together, or each one as
+    soon as it is done, in the order of the group. A dry run only reports.
+    """
+    entries = [(entry, cutoffs.of(entry.key)) for entry in group.active]
+    if not dry_run and campaign.publish_folder is None:
+        raise ValueError("a catalog campaign has no folder to publish to; only a dry run is possible")
+    together = dry_run or (group.atomic if atomic is None else atomic)
+    batches = [entries] if together else [[entry] for entry in entries]
+    report = []
+    for batch in batches:
+        report += _purge_together(spark, campaign, batch, dry_run)
+    return spark.createDataFrame(report, REPORT_SCHEMA)
+
+
+def _purge_together(
+    spark: SparkSession, campaign: Campaign, entries: Sequence[tuple], dry_run: bool
+) -> list[tuple]:
+    """Purge some tables and publish them in one step; their lines of the report."""
+    live = campaign.live(spark, [entry.table for entry, _ in entries])
+    targets = [
+        _Target(
+            entry.table,
+            entry.key,
+            campaign.stored_column(entry.table, entry.key),
+            cutoff,
+            live[entry.table].scans,
+        )
+        for entry, cutoff in entries
+    ]
+    files = _rows_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        report = _report(targets, files)
+        if not dry_run:
+            run = uuid.uuid4().hex
+            version = 1 + max(table.version for table in live.values())
+            rewritten = _rewrite(spark, campaign.publish_folder, run, targets, files)
+            _publish(spark, campaign.publish_folder, run, version, targets, files, rewritten)
+    finally:
+        files.unpersist()
+    return report
+
+
+def _report(targets: Sequence[_Target], files: DataFrame) -> list[tuple]:
+    """One line per table; a table without rows has no files to count."""
+    totals = files.groupBy("target").agg(F.sum("removed"), F.sum(F.col("rows") - F.col("removed")))
+    counts = {target: (removed, kept) for target, removed, kept in totals.collect()}
+    return [
+        (target.table, target.key, float(target.cutoff), *counts.get(target.table, (0, 0)))
+        for target in targets
+    ]
+
+
+def _rows_per_file(targets: Sequence[_Target]) -> DataFrame:
+    """``target, base, path, rows, removed``: the rows of each live file, and those to remove.
+
+    Counting all rows needs the Parquet footers only. Counting the doomed rows reads the key column,
+    of the row groups that reach the cutoff. Both are summed before the one shuffle, so what is
+    shuffled is a line per file.
+    """
+    counted = []
+    for target in targets:
+        for scan in target.scans:
+            doomed_rows = doomed(scan.rows, target.stored_key, target.cutoff)
+            for rows, counts in ((scan.rows, (1, 0)), (doomed_rows, (0, 1))):
+                counted.append(
+                    rows.select(
+                        F.lit(target.table).alias("target"),
+                        F.lit(scan.base).cast("string").alias("base"),
+                        F.col("_metadata.file_path").alias("path"),
+                        F.lit(counts[0]).cast("bigint").alias("rows"),
+                        F.lit(counts[1]).cast("bigint").alias("removed"),
+                    )
+                )
+    return (
+        reduce(DataFrame.unionAll, counted)
+        .groupBy("target", "base", "path")
+        .agg(F.sum("rows").alias("rows"), F.sum("removed").alias("removed"))
+    )
+
+
+def _rewrite(
+    spark: SparkSession,
+    folder: str,
+    run: str,
+    targets: Sequence[_Target],
+    files: DataFrame,
+) -> dict[str, str]:
+    """Write the surviving rows of the files that lose some; the new folder of each such table.
+
+    The names of these files come to the driver, which has to list them for the read anyway.
+    """
+    mixed = files.filter("removed > 0 and removed < rows").collect()
+    carried = {row.target for row in files.filter("removed = 0").select("target").distinct().collect()}
+    jobs = []
+    for target in targets:
+        own = [row for row in mixed if row.target == target.table]
+        # A table that keeps no row at all is written without rows, for its columns.
+        if own or target.table not in carried:
+            jobs.append((target, own, published.data_folder(folder, run, target.table)))
+
+    def write(job) -> None:
+        target, own, destination = job
+        parts = [scan.rows for scan in published.file_scans(spark, target.schema, own)]
+        rows = reduce(DataFrame.unionByName, parts, spark.createDataFrame([], target.schema))
+        survivors(rows, target.stored_key, target.cutoff).write.parquet(destination)
+
+    with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), jobs))
+    _check_written(
+        spark,
+        [(t, sum(row.rows - row.removed for row in own), path) for t, own, path in jobs],
+    )
+    return {target.table: destination for target, _, destination in jobs}
+
+
+def _check_written(spark: SparkSession, written: Sequence[tuple]) -> None:
+    """Count the rows that arrived in the new files; an error stops the purge before it publishes."""
+    if not written:
+        return
+    counts = [
+        spark.read.schema(target.schema)
+        .parquet(destination)
+        .agg(F.lit(target.table).alias("target"), F.count("*").alias("rows"))
+        for target, _, destination in written
+    ]
+    found = {row.target: row.rows for row in reduce(DataFrame.unionAll, counts).collect()}
+    for target, expected, _ in written:
+        if found[target.table] != expected:
+            raise RuntimeError(
+                f"{target.table}: {found[target.table]} rows were written, {expected} survive"
+            )
+
+
+def _publish(
+    spark: SparkSession,
+    folder: str,
+    run: str,
+    version: int,
+    targets: Sequence[_Target],
+    files: DataFrame,
+    rewritten: dict[str, str],
+) -> None:
+    """Append the new file lists of all tables to the log as one file: the commit."""
+    lists = []
+    for target in targets:
+        parts = [files.filter((F.col("target") == target.table) & (F.col("removed") == 0))]
+        if target.table in rewritten:
+            new = rewritten[target.table]
+            parts.append(
+                spark.createDataFrame(
+                    [(target.table, new, quote(new, safe="/:"), 0, 0)], files.schema
+                )
+            )
+        lists += [
+            part.select(
+                F.lit(version).cast("bigint").alias("version"),
+                F.lit(run).alias("run"),
+                "target",
+                "base",
+                "path",
+                F.lit(target.schema.json()).alias("schema"),
+            )
+            for part in parts
+        ]
+    whole = reduce(DataFrame.unionAll, lists)
+    (
+        whole.coalesce(1)
+        .write.mode("append")
+        .option("maxRecordsPerFile", 0)
+        .parquet(published.log_folder(folder))
+    )
