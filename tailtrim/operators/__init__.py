@@ -1,6 +1,6 @@
 """Lookup of a collection's sessions and files, and removal of rows at or above a cutoff."""
 
-from tailtrim.operators.lookup import (
+from tailtrim.operators.sessions import (
     Cutoffs,
     cutoffs_from_lookup,
     join_sessions,

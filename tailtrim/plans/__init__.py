@@ -2,7 +2,7 @@
 
 from tailtrim.plans.cleanup import RECORDED_RUNS, RecordedRun, clean_up
 from tailtrim.plans.groups import DATA, DATA_SMALL, GROUPS, SCANNER, VOICE, PurgeEntry, PurgeGroup
-from tailtrim.plans.purge import purge
+from tailtrim.plans.purging import purge
 
 __all__ = [
     "DATA",

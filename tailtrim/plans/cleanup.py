@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailtrim.operators.lookup import Cutoffs, cutoffs_from_lookup, lookup
+from tailtrim.operators.sessions import Cutoffs, cutoffs_from_lookup, lookup
 from tailtrim.plans.groups import PurgeGroup
-from tailtrim.plans.purge import purge
+from tailtrim.plans.purging import purge
 from tailtrim.sources.campaign import Campaign, load_all
 
 

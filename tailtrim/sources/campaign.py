@@ -27,8 +27,8 @@ class Campaign:
     """The tables of one campaign.
 
     Give ``root`` for a folder that holds ``<table><suffix>`` Parquet tables, or ``database`` for a
-    catalog database. Purges publish below ``publish_to``, which defaults to ``root``; a catalog
-    campaign can be looked up and dry-run, but has no folder to publish to.
+    catalog database. Purges publish below ``publish_to``; a folder campaign publishes to its own
+    folder by default, a catalog campaign without it can be looked up and dry-run only.
     """
 
     root: str | None = None
@@ -40,8 +40,6 @@ class Campaign:
     def __post_init__(self) -> None:
         if (self.root is None) == (self.database is None):
             raise ValueError("a campaign is either a folder (root) or a catalog database")
-        if self.database is not None and self.publish_to is not None:
-            raise ValueError("a catalog campaign cannot publish purged versions to a folder")
 
     @property
     def publish_folder(self) -> str | None:
@@ -53,25 +51,21 @@ class Campaign:
     def stored_column(self, table: str, column: str) -> str:
         return self.stored_table(table).columns.get(column, column)
 
-    def delivered(self, spark: SparkSession, table: str) -> published.LiveTable:
-        """The table before any purge."""
+    def delivered(self, spark: SparkSession, table: str) -> DataFrame:
+        """The table without regard to purges."""
         name = self.stored_table(table).name
         if self.database is not None:
-            scan = published.Scan(base=None, rows=spark.table(f"{self.database}.{name}"))
-        else:
-            path = f"{self.root.rstrip('/')}/{name}{self.suffix}"
-            scan = published.Scan(base=path, rows=spark.read.parquet(path))
-        return published.LiveTable(version=0, scans=[scan])
-
-    def live(
-        self, spark: SparkSession, tables: Sequence[str]
-    ) -> dict[str, published.LiveTable]:
-        """The last published version of each table, or the delivered one where there is none."""
-        live = {}
+            return spark.table(f"{self.database}.{name}")
+        return spark.read.parquet(f"{self.root.rstrip('/')}/{name}{self.suffix}")
+
+    def scans(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, list[DataFrame]]:
+        """The scans whose rows make up each table now; the purge log is read once for all."""
+        changes = {}
         if self.publish_folder is not None:
-            live = published.live_tables(spark, self.publish_folder, tables)
+            changes = published.read_changes(spark, self.publish_folder, tables)
+        unchanged = published.Changes()
         return {
-            table: live[table] if table in live else self.delivered(spark, table)
+            table: changes.get(table, unchanged).apply(spark, self.delivered(spark, table))
             for table in tables
         }
 
@@ -79,17 +73,17 @@ class Campaign:
 def load(
     spark: SparkSession, campaign: Campaign, table: str, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """One table of a campaign, as of its last published purge; ``keys`` must be numeric columns."""
+    """One table of a campaign, without the rows purges removed; ``keys`` must be numeric columns."""
     return load_all(spark, campaign, [table], keys)[table]
 
 
 def load_all(
     spark: SparkSession, campaign: Campaign, tables: Sequence[str], keys: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """Several tables of a campaign; the published versions are looked up once for all of them."""
+    """Several tables of a campaign, see :func:`load`."""
     loaded = {}
-    for table, live in campaign.live(spark, tables).items():
-        rows = reduce(DataFrame.unionByName, [scan.rows for scan in live.scans])
+    for table, scans in campaign.scans(spark, tables).items():
+        rows = reduce(DataFrame.unionAll, scans)
         names = {kept: used for used, kept in campaign.stored_table(table).columns.items()}
         rows = rows.withColumnsRenamed(names)
         for key in keys:

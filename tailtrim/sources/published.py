@@ -1,107 +1,85 @@
-"""Published versions of purged tables.
+"""What purges changed in a table since it was delivered.
 
-A purge never changes a file in place. It writes the files it has to rewrite to a new folder and then
-appends one small Parquet file to ``<publish folder>/purge_log`` that lists, for each purged table,
-every file the table now consists of. Readers take the newest version listed for a table. Appending
-that one file is the commit: before it readers see the old files of every table, after it the new ones.
+A purge never changes or deletes a file. It writes surviving rows to a new folder, then appends one
+small Parquet file to ``<publish folder>/purge_log``. That file says, for each purged table, which
+files no longer belong to it (``without``) and which folder does (``with``). Appending that one file
+is the commit: readers see the old state of every table before it and the new state of every table
+after it. Rows that are later appended to the delivered table are part of it as usual.
 """
 
 from __future__ import annotations
 
-import json
-from collections import defaultdict
-from collections.abc import Sequence
-from typing import NamedTuple
-from urllib.parse import unquote
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-LOG_SCHEMA = "version bigint, run string, target string, base string, path string, schema string"
+LOG_SCHEMA = "run string, target string, change string, path string"
 
+FILE_PATH = "_metadata.file_path"
 
-class Scan(NamedTuple):
-    """Rows of some live files of a table, and the folder their partition columns start from."""
 
-    base: str | None
-    rows: DataFrame
+@dataclass
+class Changes:
+    """Files that left a table, as ``_metadata.file_path`` names them, and folders that joined it."""
 
+    without: list[str] = field(default_factory=list)
+    joined: list[str] = field(default_factory=list)
 
-class LiveTable(NamedTuple):
-    """The files a table consists of at present; version 0 is the table as it was delivered."""
-
-    version: int
-    scans: list[Scan]
+    def apply(self, spark: SparkSession, delivered: DataFrame) -> list[DataFrame]:
+        """The scans that make up the table now, given the delivered one."""
+        scans = [delivered]
+        if self.joined:
+            scans.append(spark.read.schema(delivered.schema).parquet(*self.joined))
+        return [scan.filter(~in_files(self.without)) for scan in scans] if self.without else scans
 
 
 def log_folder(folder: str) -> str:
     return f"{folder.rstrip('/')}/purge_log"
 
 
-def data_folder(folder: str, run: str, target: str) -> str:
-    return f"{folder.rstrip('/')}/purge_data/{run}/{target}"
+def data_folder(folder: str, run: str, table: str) -> str:
+    return f"{folder.rstrip('/')}/purge_data/{run}/{table}"
 
 
-def read_log(spark: SparkSession, folder: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(log_folder(folder))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def in_files(paths: Iterable[str]) -> Column:
+    """True for the rows of some files. Spark drops the other files when it plans the scan.
 
-
-def live_tables(
-    spark: SparkSession, folder: str, tables: Sequence[str]
-) -> dict[str, LiveTable]:
-    """The newest version of each table that has been purged; other tables are absent.
-
-    The file names come to the driver, which lists the files of every Parquet table it reads anyway.
+    Built as one SQL expression: a call into the JVM per path takes seconds for some thousand paths.
     """
-    log = read_log(spark, folder)
-    if log is None:
-        return {}
-    names = {table.lower(): table for table in tables}
-    entries = log.withColumn("target", F.lower("target")).filter(F.col("target").isin(*names))
-    newest = entries.groupBy("target").agg(F.max("version").alias("version"))
-    live = defaultdict(list)
-    for entry in entries.join(newest, ["target", "version"]).collect():
-        live[names[entry.target]].append(entry)
-    return {table: _open(spark, table, entries) for table, entries in live.items()}
+    quoted = (path.replace("\\", "\\\\").replace("'", "\\'") for path in paths)
+    return F.expr(f"{FILE_PATH} IN ({', '.join(f"'{path}'" for path in quoted)})")
 
 
-def _open(spark: SparkSession, table: str, entries: list[Row]) -> LiveTable:
-    version = entries[0].version
-    if len({entry.run for entry in entries}) > 1:
-        raise RuntimeError(f"two purges of {table!r} published version {version} at the same time")
-    schema = T.StructType.fromJson(json.loads(entries[0].schema))
-    return LiveTable(version, file_scans(spark, schema, entries))
-
-
-def file_scans(spark: SparkSession, schema: T.StructType, files: Sequence[Row]) -> list[Scan]:
-    """Scans over listed files; ``_metadata.file_path`` and so the log hold them percent-encoded.
+def read_changes(
+    spark: SparkSession, folder: str, tables: Sequence[str]
+) -> dict[str, Changes]:
+    """The changes of each table that was purged. They come to the driver, where Spark plans reads.
 
-    Only files in partition folders need to be read relative to their table; all others share one
-    scan.
+    Their number grows with the files that purges touched, not with the table.
     """
-    by_base = defaultdict(list)
-    for file in files:
-        by_base[file.base if _in_partition_folder(file) else None].append(unquote(file.path))
-    scans = []
-    for base, paths in by_base.items():
-        reader = spark.read.schema(schema)
-        if base is not None:
-            reader = reader.option("basePath", base)
-        scans.append(Scan(base, reader.parquet(*paths)))
-    return scans
-
-
-def _in_partition_folder(file: Row) -> bool:
-    """Whether a file lies in a partition folder (name=value) of its table."""
-    if file.base is None:
-        return False
-    table_folder = file.base.rstrip("/").rsplit("/", 1)[-1]
-    _, found, below = unquote(file.path).rpartition(f"/{table_folder}/")
-    return bool(found) and "=" in below.rpartition("/")[0]
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(log_folder(folder))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    names = {table.lower(): table for table in tables}
+    changes = defaultdict(Changes)
+    for entry in log.filter(F.lower("target").isin(*names)).collect():
+        table = changes[names[entry.target.lower()]]
+        (table.joined if entry.change == "with" else table.without).append(entry.path)
+    for name, table in changes.items():
+        path, times = Counter(table.without).most_common(1)[0]
+        if times > 1:
+            raise RuntimeError(f"two purges of {name!r} replaced {path} at the same time")
+    return dict(changes)
+
+
+def append_changes(changes: DataFrame, folder: str) -> None:
+    """Commit changes: they become visible together, as one file."""
+    one_file = changes.coalesce(1).write.mode("append").option("maxRecordsPerFile", 0)
+    one_file.parquet(log_folder(folder))
