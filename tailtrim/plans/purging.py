@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tailtrim.functions.literals import literal_rows
 from tailtrim.operators.removal import doomed, survivors
 from tailtrim.operators.sessions import Cutoffs
 from tailtrim.plans.groups import PurgeEntry, PurgeGroup
@@ -79,7 +80,7 @@ def purge(
     report = []
     for batch in batches:
         report += _purge_together(spark, campaign, batch, cutoffs, dry_run)
-    return spark.createDataFrame(report, REPORT_SCHEMA)
+    return literal_rows(spark, report, REPORT_SCHEMA)
 
 
 def _purge_together(
@@ -127,13 +128,13 @@ def _rows_per_file(targets: Sequence[_Target]) -> DataFrame:
         for scan in target.scans:
             gone = doomed(scan, target.stored_key, target.cutoff)
             counted += [
-                rows.selectExpr(
-                    f"'{target.table}' AS target",
-                    f"{FILE_PATH} AS path",
-                    f"{all_rows} AS rows",
-                    f"{removed} AS removed",
+                rows.select(
+                    F.lit(target.table).alias("target"),
+                    F.col(FILE_PATH).alias("path"),
+                    F.lit(one).alias("rows"),
+                    F.lit(one_gone).alias("removed"),
                 )
-                for rows, all_rows, removed in ((scan, "1L", "0L"), (gone, "0L", "1L"))
+                for rows, one, one_gone in ((scan, 1, 0), (gone, 0, 1))
             ]
     return (
         reduce(DataFrame.unionAll, counted)
@@ -175,22 +176,26 @@ def _rewrite(
         kept = survivors(reduce(DataFrame.unionAll, parts), target.stored_key, target.cutoff)
         kept.write.parquet(new_folders[target.table])
 
-    with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
-        rewritten = [target for target in targets if target.table in mixed]
-        list(pool.map(inheritable_thread_target(spark)(write), rewritten))
-    _check_written(spark, new_folders, surviving)
+    rewritten = [target for target in targets if target.table in mixed]
+    if rewritten:
+        with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
+            list(pool.map(inheritable_thread_target(spark)(write), rewritten))
+        _check_written(spark, rewritten, new_folders, surviving)
     return new_folders
 
 
 def _check_written(
-    spark: SparkSession, new_folders: dict[str, str], surviving: dict[str, int]
+    spark: SparkSession,
+    rewritten: Sequence[_Target],
+    new_folders: dict[str, str],
+    surviving: dict[str, int],
 ) -> None:
     """Count the rows that arrived in the new files; an error stops the purge before it publishes."""
-    if not new_folders:
-        return
     rows = [
-        spark.read.parquet(new_folder).selectExpr(f"'{table}' AS target")
-        for table, new_folder in new_folders.items()
+        spark.read.schema(target.scans[0].schema)
+        .parquet(new_folders[target.table])
+        .select(F.lit(target.table).alias("target"))
+        for target in rewritten
     ]
     written = dict(reduce(DataFrame.unionAll, rows).groupBy("target").count().collect())
     for table, expected in surviving.items():
@@ -202,10 +207,10 @@ def _publish(
     spark: SparkSession, folder: str, run: str, files: DataFrame, new_folders: dict[str, str]
 ) -> None:
     """Commit the purge of all tables at once."""
-    left = files.filter("removed > 0").selectExpr(
-        f"'{run}' AS run", "target", "'without' AS change", "path"
-    )
-    joined = spark.createDataFrame(
-        [(run, table, "with", new_folder) for table, new_folder in new_folders.items()], LOG_SCHEMA
+    changes = files.filter("removed > 0").select(
+        F.lit(run).alias("run"), "target", F.lit("without").alias("change"), "path"
     )
-    append_changes(left.unionAll(joined), folder)
+    if new_folders:
+        joined = [(run, table, "with", new_folder) for table, new_folder in new_folders.items()]
+        changes = changes.unionAll(literal_rows(spark, joined, LOG_SCHEMA))
+    append_changes(changes, folder)
