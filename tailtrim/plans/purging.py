@@ -1,14 +1,9 @@
 """Remove the rows at or above a campaign's cutoffs from every table of a purge group.
 
-For each table, the files fall into three kinds:
-
-* no row at or above the cutoff: the file stays in the table as it is,
-* nothing but such rows: the file leaves the table,
-* both: the file leaves the table and its surviving rows are written to a new one, in their order
-  and without a shuffle.
-
-So a purge of the tail of a table that grew in id order rewrites the few files around the cutoff,
-whatever the size of the table.
+Files without such a row stay in the table as they are. Files with one leave the table, and their
+surviving rows are written to new files, in their order and without a shuffle; of a file whose rows
+all go, only the footer is read. So a purge of the tail of a table that grew in id order rewrites the
+few files around the cutoff, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -101,12 +96,11 @@ def _purge_together(
         )
         for entry in entries
     ]
-    files = _rows_per_file(targets)
     if dry_run:
-        return _report(targets, files)
-    files = files.persist(StorageLevel.MEMORY_AND_DISK)
+        return _report(targets, _doomed_per_table(targets))
+    files = _doomed_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = _report(targets, files)
+        report = _report(targets, files.groupBy("target").agg(F.sum("removed").alias("removed")))
         if any(removed for *_, removed, _ in report):
             run = uuid.uuid4().hex
             new_folders = _rewrite(spark, campaign.publish_folder, run, targets, files)
@@ -116,40 +110,51 @@ def _purge_together(
     return report
 
 
-def _rows_per_file(targets: Sequence[_Target]) -> DataFrame:
-    """``target, path, rows, removed``: the rows of each file of a table, and those to remove.
+def _doomed_per_table(targets: Sequence[_Target]) -> DataFrame:
+    """``target, removed``, one row per scan."""
+    counts = [
+        doomed(scan, target.stored_key, target.cutoff).agg(
+            F.lit(target.table).alias("target"), F.count("*").alias("removed")
+        )
+        for target in targets
+        for scan in target.scans
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
+def _doomed_per_file(targets: Sequence[_Target]) -> DataFrame:
+    """``target, path, removed`` of the files with doomed rows.
 
-    Counting all rows needs the Parquet footers only. Counting the doomed rows reads the key column,
-    of the row groups that reach the cutoff. Both are summed before the one shuffle, so what is
-    shuffled is a line per file.
+    Only the key column is read, of the row groups that reach the cutoff, and rows are counted
+    before the shuffle, so what is shuffled is a line per file and task.
     """
-    counted = []
-    for target in targets:
-        for scan in target.scans:
-            gone = doomed(scan, target.stored_key, target.cutoff)
-            counted += [
-                rows.select(
-                    F.lit(target.table).alias("target"),
-                    F.col(FILE_PATH).alias("path"),
-                    F.lit(one).alias("rows"),
-                    F.lit(one_gone).alias("removed"),
-                )
-                for rows, one, one_gone in ((scan, 1, 0), (gone, 0, 1))
-            ]
-    return (
-        reduce(DataFrame.unionAll, counted)
-        .groupBy("target", "path")
-        .agg(F.sum("rows").alias("rows"), F.sum("removed").alias("removed"))
-    )
-
-
-def _report(targets: Sequence[_Target], files: DataFrame) -> list[tuple]:
-    """One line per table; a table without rows has no files to count."""
-    totals = files.groupBy("target").agg(F.sum("removed"), F.sum(F.col("rows") - F.col("removed")))
-    counts = {table: (removed, kept) for table, removed, kept in totals.collect()}
-    return [
-        (target.table, target.entry.key, target.cutoff, *counts.get(target.table, (0, 0)))
+    rows = [
+        doomed(scan, target.stored_key, target.cutoff).select(
+            F.lit(target.table).alias("target"), F.col(FILE_PATH).alias("path")
+        )
+        for target in targets
+        for scan in target.scans
+    ]
+    counted = reduce(DataFrame.unionAll, rows).groupBy("target", "path")
+    return counted.agg(F.count("*").alias("removed"))
+
+
+def _report(targets: Sequence[_Target], removed: DataFrame) -> list[tuple]:
+    """One line per table. All rows of a table are counted from the footers of its files."""
+    counts = [
+        scan.agg(F.lit(target.table).alias("target"), F.count("*").alias("rows"))
         for target in targets
+        for scan in target.scans
+    ]
+    all_rows = reduce(DataFrame.unionAll, counts).withColumn("removed", F.lit(0))
+    both = all_rows.unionAll(removed.select("target", F.lit(0), "removed"))
+    rows, gone = defaultdict(int), defaultdict(int)
+    for line in both.collect():
+        rows[line.target] += line.rows
+        gone[line.target] += line.removed
+    return [
+        (t.table, t.entry.key, t.cutoff, gone[t.table], rows[t.table] - gone[t.table])
+        for t in targets
     ]
 
 
@@ -160,56 +165,66 @@ def _rewrite(
     targets: Sequence[_Target],
     files: DataFrame,
 ) -> dict[str, str]:
-    """Write the surviving rows of the files that lose some rows; the new folder of each table.
+    """Write the surviving rows of the files with doomed rows; the new folder of each table.
 
     The names of these files come to the driver, which plans the read of each of them anyway.
     """
-    mixed = defaultdict(list)
-    surviving = defaultdict(int)
-    for file in files.filter("removed > 0 AND removed < rows").collect():
-        mixed[file.target].append(file.path)
-        surviving[file.target] += file.rows - file.removed
-    new_folders = {table: data_folder(folder, run, table) for table in mixed}
+    touched, removed = defaultdict(list), defaultdict(int)
+    for file in files.collect():
+        touched[file.target].append(file.path)
+        removed[file.target] += file.removed
+    parts = {
+        target.table: reduce(
+            DataFrame.unionAll,
+            [scan.filter(in_files(touched[target.table])) for scan in target.scans],
+        )
+        for target in targets
+        if target.table in touched
+    }
+    new_folders = {table: data_folder(folder, run, table) for table in parts}
 
     def write(target: _Target) -> None:
-        parts = [scan.filter(in_files(mixed[target.table])) for scan in target.scans]
-        kept = survivors(reduce(DataFrame.unionAll, parts), target.stored_key, target.cutoff)
+        kept = survivors(parts[target.table], target.stored_key, target.cutoff)
         kept.write.parquet(new_folders[target.table])
 
-    rewritten = [target for target in targets if target.table in mixed]
-    if rewritten:
-        with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
-            list(pool.map(inheritable_thread_target(spark)(write), rewritten))
-        _check_written(spark, rewritten, new_folders, surviving)
-    return new_folders
+    with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
+        rewritten = [target for target in targets if target.table in parts]
+        list(pool.map(inheritable_thread_target(spark)(write), rewritten))
+    written = _check_written(spark, parts, new_folders, removed)
+    return {table: new_folders[table] for table, rows in written.items() if rows}
 
 
 def _check_written(
     spark: SparkSession,
-    rewritten: Sequence[_Target],
+    parts: dict[str, DataFrame],
     new_folders: dict[str, str],
-    surviving: dict[str, int],
-) -> None:
-    """Count the rows that arrived in the new files; an error stops the purge before it publishes."""
-    rows = [
-        spark.read.schema(target.scans[0].schema)
-        .parquet(new_folders[target.table])
-        .select(F.lit(target.table).alias("target"))
-        for target in rewritten
-    ]
-    written = dict(reduce(DataFrame.unionAll, rows).groupBy("target").count().collect())
-    for table, expected in surviving.items():
-        if written.get(table, 0) != expected:
-            raise RuntimeError(f"{table}: wrote {written.get(table, 0)} of {expected} rows to keep")
+    removed: dict[str, int],
+) -> dict[str, int]:
+    """Count the rows of the new files; an error, before anything is published, unless they are
+    the rows of the old files less the doomed ones.
+    """
+    counts = []
+    for table, part in parts.items():
+        new = spark.read.schema(part.schema).parquet(new_folders[table])
+        for state, rows in (("old", part), ("new", new)):
+            counts.append(
+                rows.agg(
+                    F.lit(table).alias("target"), F.lit(state).alias("state"), F.count("*").alias("n")
+                )
+            )
+    found = {(r.target, r.state): r.n for r in reduce(DataFrame.unionAll, counts).collect()}
+    for table in parts:
+        written, expected = found[table, "new"], found[table, "old"] - removed[table]
+        if written != expected:
+            raise RuntimeError(f"{table}: wrote {written} of {expected} rows to keep")
+    return {table: found[table, "new"] for table in parts}
 
 
 def _publish(
     spark: SparkSession, folder: str, run: str, files: DataFrame, new_folders: dict[str, str]
 ) -> None:
     """Commit the purge of all tables at once."""
-    changes = files.filter("removed > 0").select(
-        F.lit(run).alias("run"), "target", F.lit("without").alias("change"), "path"
-    )
+    changes = files.select(F.lit(run).alias("run"), "target", F.lit("without").alias("change"), "path")
     if new_folders:
         joined = [(run, table, "with", new_folder) for table, new_folder in new_folders.items()]
         changes = changes.unionAll(literal_rows(spark, joined, LOG_SCHEMA))

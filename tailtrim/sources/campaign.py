@@ -51,22 +51,23 @@ class Campaign:
     def stored_column(self, table: str, column: str) -> str:
         return self.stored_table(table).columns.get(column, column)
 
-    def delivered(self, spark: SparkSession, table: str) -> DataFrame:
-        """The table without regard to purges."""
-        name = self.stored_table(table).name
+    def delivered(self, spark: SparkSession, stored_name: str) -> DataFrame:
+        """A stored table without regard to purges."""
         if self.database is not None:
-            return spark.table(f"{self.database}.{name}")
-        return spark.read.parquet(f"{self.root.rstrip('/')}/{name}{self.suffix}")
+            return spark.table(f"{self.database}.{stored_name}")
+        return spark.read.parquet(f"{self.root.rstrip('/')}/{stored_name}{self.suffix}")
 
     def scans(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, list[DataFrame]]:
         """The scans whose rows make up each table now; the purge log is read once for all."""
         changes = {}
         if self.publish_folder is not None:
             changes = published.read_changes(spark, self.publish_folder, tables)
+        names = {table: self.stored_table(table).name for table in tables}
+        delivered = {name: self.delivered(spark, name) for name in dict.fromkeys(names.values())}
         unchanged = published.Changes()
         return {
-            table: changes.get(table, unchanged).apply(spark, self.delivered(spark, table))
-            for table in tables
+            table: changes.get(table, unchanged).apply(spark, delivered[name])
+            for table, name in names.items()
         }
 
 

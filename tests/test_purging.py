@@ -8,10 +8,11 @@ from plans import explained, files_read
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tailtrim.operators import Cutoffs
+from tailtrim.operators import Cutoffs, survivors
 from tailtrim.plans import PurgeEntry, PurgeGroup, clean_up, purge
 from tailtrim.plans import purging
 from tailtrim.sources import Campaign, load
+from tailtrim.sources.published import in_files
 
 SESSION = "sessionid"
 
@@ -111,10 +112,10 @@ def test_failure_while_rewriting(spark, root, campaign, monkeypatch, atomic, pur
         write(spark, root, table, [1, 9])
     check = purging._check_written
 
-    def failing(spark, rewritten, *rest):
-        check(spark, rewritten, *rest)
-        if any(target.table == "b" for target in rewritten):
+    def failing(spark, parts, *rest):
+        if "b" in parts:
             raise RuntimeError("disk lost")
+        return check(spark, parts, *rest)
 
     monkeypatch.setattr(purging, "_check_written", failing)
     with pytest.raises(RuntimeError, match="disk lost"):
@@ -178,16 +179,27 @@ def test_files_that_left_the_table_are_not_opened(spark, root, campaign):
     assert rows[0] == 300 and rows[1] == sum(range(300))
 
 
-def test_whole_files_are_dropped_without_reading_other_columns(spark, root, campaign):
+def test_counting_reads_the_key_column_only(spark, root, campaign):
     write(spark, root, "a", range(100), files=4)
     target = purging._Target(
         PurgeEntry("a", SESSION), 50.0, SESSION, campaign.scans(spark, ["a"])["a"]
     )
-    plan = explained(purging._rows_per_file([target]))
-    assert "ReadSchema: struct<>" in plan
+    plan = explained(purging._doomed_per_file([target]))
     assert "ReadSchema: struct<sessionid:bigint>" in plan
     assert "GreaterThanOrEqual(sessionid,50)" in plan
-    assert plan.count("hashpartitioning(target") == 1
+    assert plan.count("Exchange\n") == 1
+
+
+def test_files_that_lose_every_row_are_only_opened(spark, root, campaign):
+    """The keep filter reaches the scan, where row groups of doomed rows are skipped."""
+    write(spark, root, "a", range(1000), files=10)
+    (scan,) = campaign.scans(spark, ["a"])["a"]
+    doomed_files = files_read(scan.filter(f"{SESSION} >= 500"))
+    rows = survivors(scan.filter(in_files(doomed_files)), SESSION, 500)
+    plan = explained(rows)
+    assert f"Or(LessThan({SESSION},500),IsNull({SESSION}))" in plan
+    assert "Exchange" not in plan
+    assert rows.count() < 100
 
 
 def test_repeated_and_lower_purges(spark, root, campaign):
