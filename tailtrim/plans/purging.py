@@ -52,6 +52,9 @@ class _Target:
     def table(self) -> str:
         return self.entry.table
 
+    def doomed(self, scan: DataFrame) -> DataFrame:
+        return doomed(scan, self.stored_key, self.cutoff)
+
 
 def purge(
     spark: SparkSession,
@@ -96,30 +99,36 @@ def _purge_together(
         )
         for entry in entries
     ]
+    whole = [(target.table, "whole", scan) for target in targets for scan in target.scans]
     if dry_run:
-        return _report(targets, _doomed_per_table(targets))
-    files = _doomed_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        report = _report(targets, files.groupBy("target").agg(F.sum("removed").alias("removed")))
-        if any(removed for *_, removed, _ in report):
+        gone = [(t.table, "gone", t.doomed(scan)) for t in targets for scan in t.scans]
+        counts = _count(whole + gone)
+        removed = {target.table: counts[target.table, "gone"] for target in targets}
+    else:
+        files = _doomed_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
             run = uuid.uuid4().hex
-            new_folders = _rewrite(spark, campaign.publish_folder, run, targets, files)
-            _publish(spark, campaign.publish_folder, run, files, new_folders)
-    finally:
-        files.unpersist()
-    return report
-
-
-def _doomed_per_table(targets: Sequence[_Target]) -> DataFrame:
-    """``target, removed``, one row per scan."""
-    counts = [
-        doomed(scan, target.stored_key, target.cutoff).agg(
-            F.lit(target.table).alias("target"), F.count("*").alias("removed")
-        )
-        for target in targets
-        for scan in target.scans
+            # The names of these files come to the driver, which plans the read of each anyway.
+            touched, removed = defaultdict(list), defaultdict(int)
+            for file in files.collect():
+                touched[file.target].append(file.path)
+                removed[file.target] += file.removed
+            old, new = _rewrite(spark, campaign.publish_folder, run, targets, touched)
+            counts = _count(
+                whole
+                + [(table, "old", rows) for table, rows in old.items()]
+                + [(table, "new", rows) for table, rows in new.items()]
+            )
+            _check_written(counts, removed)
+            if touched:
+                filled = [table for table in new if counts[table, "new"]]
+                _publish(spark, campaign.publish_folder, run, files, filled)
+        finally:
+            files.unpersist()
+    return [
+        (t.table, t.entry.key, t.cutoff, removed[t.table], counts[t.table, "whole"] - removed[t.table])
+        for t in targets
     ]
-    return reduce(DataFrame.unionAll, counts)
 
 
 def _doomed_per_file(targets: Sequence[_Target]) -> DataFrame:
@@ -129,9 +138,7 @@ def _doomed_per_file(targets: Sequence[_Target]) -> DataFrame:
     before the shuffle, so what is shuffled is a line per file and task.
     """
     rows = [
-        doomed(scan, target.stored_key, target.cutoff).select(
-            F.lit(target.table).alias("target"), F.col(FILE_PATH).alias("path")
-        )
+        target.doomed(scan).select(F.lit(target.table).alias("target"), F.col(FILE_PATH).alias("path"))
         for target in targets
         for scan in target.scans
     ]
@@ -139,23 +146,16 @@ def _doomed_per_file(targets: Sequence[_Target]) -> DataFrame:
     return counted.agg(F.count("*").alias("removed"))
 
 
-def _report(targets: Sequence[_Target], removed: DataFrame) -> list[tuple]:
-    """One line per table. All rows of a table are counted from the footers of its files."""
-    counts = [
-        scan.agg(F.lit(target.table).alias("target"), F.count("*").alias("rows"))
-        for target in targets
-        for scan in target.scans
-    ]
-    all_rows = reduce(DataFrame.unionAll, counts).withColumn("removed", F.lit(0))
-    both = all_rows.unionAll(removed.select("target", F.lit(0), "removed"))
-    rows, gone = defaultdict(int), defaultdict(int)
-    for line in both.collect():
-        rows[line.target] += line.rows
-        gone[line.target] += line.removed
-    return [
-        (t.table, t.entry.key, t.cutoff, gone[t.table], rows[t.table] - gone[t.table])
-        for t in targets
+def _count(rows: Sequence[tuple[str, str, DataFrame]]) -> dict[tuple[str, str], int]:
+    """Rows per table and label, in one job. Unfiltered rows are counted from the file footers."""
+    counted = [
+        part.agg(F.lit(table).alias("table"), F.lit(label).alias("label"), F.count("*").alias("n"))
+        for table, label, part in rows
     ]
+    counts = defaultdict(int)
+    for line in reduce(DataFrame.unionAll, counted).collect():
+        counts[line.table, line.label] += line.n
+    return counts
 
 
 def _rewrite(
@@ -163,69 +163,50 @@ def _rewrite(
     folder: str,
     run: str,
     targets: Sequence[_Target],
-    files: DataFrame,
-) -> dict[str, str]:
-    """Write the surviving rows of the files with doomed rows; the new folder of each table.
+    touched: dict[str, list[str]],
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Write the surviving rows of the touched files of each table to a new folder.
 
-    The names of these files come to the driver, which plans the read of each of them anyway.
+    All rows of the touched files, and the rows read back from the new ones, by table.
     """
-    touched, removed = defaultdict(list), defaultdict(int)
-    for file in files.collect():
-        touched[file.target].append(file.path)
-        removed[file.target] += file.removed
-    parts = {
+    touched_targets = [target for target in targets if target.table in touched]
+    old = {
         target.table: reduce(
             DataFrame.unionAll,
             [scan.filter(in_files(touched[target.table])) for scan in target.scans],
         )
-        for target in targets
-        if target.table in touched
+        for target in touched_targets
     }
-    new_folders = {table: data_folder(folder, run, table) for table in parts}
 
     def write(target: _Target) -> None:
-        kept = survivors(parts[target.table], target.stored_key, target.cutoff)
-        kept.write.parquet(new_folders[target.table])
+        kept = survivors(old[target.table], target.stored_key, target.cutoff)
+        kept.write.parquet(data_folder(folder, run, target.table))
 
     with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
-        rewritten = [target for target in targets if target.table in parts]
-        list(pool.map(inheritable_thread_target(spark)(write), rewritten))
-    written = _check_written(spark, parts, new_folders, removed)
-    return {table: new_folders[table] for table, rows in written.items() if rows}
+        list(pool.map(inheritable_thread_target(spark)(write), touched_targets))
+    new = {
+        table: spark.read.schema(rows.schema).parquet(data_folder(folder, run, table))
+        for table, rows in old.items()
+    }
+    return old, new
 
 
-def _check_written(
-    spark: SparkSession,
-    parts: dict[str, DataFrame],
-    new_folders: dict[str, str],
-    removed: dict[str, int],
-) -> dict[str, int]:
-    """Count the rows of the new files; an error, before anything is published, unless they are
-    the rows of the old files less the doomed ones.
+def _check_written(counts: dict[tuple[str, str], int], removed: dict[str, int]) -> None:
+    """The new files must hold the rows of the old ones less the doomed ones; else nothing is
+    published.
     """
-    counts = []
-    for table, part in parts.items():
-        new = spark.read.schema(part.schema).parquet(new_folders[table])
-        for state, rows in (("old", part), ("new", new)):
-            counts.append(
-                rows.agg(
-                    F.lit(table).alias("target"), F.lit(state).alias("state"), F.count("*").alias("n")
-                )
-            )
-    found = {(r.target, r.state): r.n for r in reduce(DataFrame.unionAll, counts).collect()}
-    for table in parts:
-        written, expected = found[table, "new"], found[table, "old"] - removed[table]
+    for table in removed:
+        written, expected = counts[table, "new"], counts[table, "old"] - removed[table]
         if written != expected:
             raise RuntimeError(f"{table}: wrote {written} of {expected} rows to keep")
-    return {table: found[table, "new"] for table in parts}
 
 
 def _publish(
-    spark: SparkSession, folder: str, run: str, files: DataFrame, new_folders: dict[str, str]
+    spark: SparkSession, folder: str, run: str, files: DataFrame, filled: Sequence[str]
 ) -> None:
-    """Commit the purge of all tables at once."""
+    """Commit the purge of all tables at once; ``filled`` are those with rows in new files."""
     changes = files.select(F.lit(run).alias("run"), "target", F.lit("without").alias("change"), "path")
-    if new_folders:
-        joined = [(run, table, "with", new_folder) for table, new_folder in new_folders.items()]
+    if filled:
+        joined = [(run, table, "with", data_folder(folder, run, table)) for table in filled]
         changes = changes.unionAll(literal_rows(spark, joined, LOG_SCHEMA))
     append_changes(changes, folder)

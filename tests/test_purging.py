@@ -110,14 +110,15 @@ def test_failure_while_rewriting(spark, root, campaign, monkeypatch, atomic, pur
     """A table that fails after others were already written."""
     for table in "abc":
         write(spark, root, table, [1, 9])
-    check = purging._check_written
+    rewrite = purging._rewrite
 
-    def failing(spark, parts, *rest):
-        if "b" in parts:
+    def failing(spark, folder, run, targets, touched):
+        written = rewrite(spark, folder, run, targets, touched)
+        if "b" in touched:
             raise RuntimeError("disk lost")
-        return check(spark, parts, *rest)
+        return written
 
-    monkeypatch.setattr(purging, "_check_written", failing)
+    monkeypatch.setattr(purging, "_rewrite", failing)
     with pytest.raises(RuntimeError, match="disk lost"):
         purge(spark, campaign, group("a", "b", "c", atomic=atomic), Cutoffs(5))
     for table in "abc":
