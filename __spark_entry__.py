@@ -17,7 +17,6 @@ from tailtrim.operators import (
     Cutoffs,
     doomed,
     join_sessions,
-    lookup,
     lowest_ids,
     match_collections,
     survivors,
@@ -115,7 +114,7 @@ def purge_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cutoff_from_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lowest_ids(lookup_sessions_files(spark, sf_dir))
+    return lowest_ids(find_sessions(spark, stand_in_campaign(sf_dir), PATTERN, ordered=False))
 
 
 def cleanup_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:

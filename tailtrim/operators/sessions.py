@@ -58,18 +58,25 @@ def lookup(
     pattern: str,
     with_files: bool = True,
     ignore_case: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
     """Sessions of the matching collections in ascending order, with or without their file ids.
 
     The order continues over the file id, the name and the input split the session came from, so
-    that many rows of one session, even exact copies, spread over several sort tasks.
+    that many rows of one session, even exact copies, spread over several sort tasks. Without an
+    order the sort is left out, as for :func:`cutoffs_from_lookup`.
     """
     matched = match_collections(filelist, pattern, ignore_case)
-    ordered = _join(matched, sessions, BROADCAST_BYTES, ROWS_PER_SHARE).orderBy(
-        *[F.asc_nulls_first(c) for c in ("sessionid", "fileid", "collectionname", "_split")]
-    )
+    found = _join(matched, sessions, BROADCAST_BYTES, ROWS_PER_SHARE)
+    if ordered:
+        # A global sort samples its input before it shuffles it. Sampling the output of this
+        # exchange keeps the sessions from being read and joined twice.
+        exchanged = found.repartition("sessionid", "fileid", "_split")
+        found = exchanged.orderBy(
+            *[F.asc_nulls_first(c) for c in ("sessionid", "fileid", "collectionname", "_split")]
+        )
     columns = ["fileid", "sessionid", "collectionname"]
-    return ordered.select(columns if with_files else columns[1:])
+    return found.select(columns if with_files else columns[1:])
 
 
 def lowest_ids(found: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tailtrim.functions.predicates import key_type
 from tailtrim.operators.sessions import Cutoffs, cutoffs_from_lookup, lookup
 from tailtrim.plans.groups import PurgeGroup
 from tailtrim.plans.purging import purge
@@ -39,10 +40,14 @@ def find_sessions(
     pattern: str,
     with_files: bool = True,
     ignore_case: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
     """The lookup on a campaign's own file list and sessions."""
     tables = load_all(spark, campaign, ["filelist", "sessions"], keys=["fileid"])
-    return lookup(tables["filelist"], tables["sessions"], pattern, with_files, ignore_case)
+    key_type(tables["sessions"], "sessionid")
+    return lookup(
+        tables["filelist"], tables["sessions"], pattern, with_files, ignore_case, ordered
+    )
 
 
 def clean_up(
@@ -61,7 +66,7 @@ def clean_up(
     """
     if cutoffs is None:
         cutoffs = cutoffs_from_lookup(
-            find_sessions(spark, campaign, pattern, ignore_case=ignore_case)
+            find_sessions(spark, campaign, pattern, ignore_case=ignore_case, ordered=False)
         )
     reports = [purge(spark, campaign, group, cutoffs, dry_run=dry_run) for group in groups]
     return reduce(DataFrame.unionAll, reports)

@@ -142,7 +142,9 @@ def test_small_file_list_is_broadcast_and_sessions_stay_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan
-    assert "hashpartitioning" not in plan
+    # The one hash exchange is after the join, for the sort to sample from.
+    assert plan.count("hashpartitioning") == 1
+    assert "hashpartitioning(sessionid" in plan and "rangepartitioning(sessionid" in plan
     assert "StringContains(c_name,0014)" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
@@ -162,8 +164,26 @@ def test_larger_file_list_is_shuffled(spark):
 
 def test_cutoffs_need_no_sort(spark):
     filelist, session_table = stored(spark)
-    plan = explained(lowest_ids(lookup(filelist, session_table, "%0014%")))
-    assert "rangepartitioning" not in plan and "Sort" not in plan
+    found = lookup(filelist, session_table, "%0014%", ordered=False)
+    plan = explained(lowest_ids(found))
+    assert "partitioning(" not in plan and "Sort" not in plan
+    assert cutoffs_from_lookup(found) == cutoffs_from_lookup(lookup(filelist, session_table, "%0014%"))
+
+
+def test_ordered_lookup_reads_the_sessions_once(spark):
+    filelist, session_table = stored(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    counted = session_table.mapInPandas(count, session_table.schema)
+    assert lookup(filelist, counted, "%0014%").count() > 0
+    lookup(filelist, counted, "%0014%").collect()
+    # Counting needs no order, so each of the two reads every session once.
+    assert seen.value == 2 * session_table.count()
 
 
 def test_copies_of_one_session_spread_over_sort_tasks(spark):
