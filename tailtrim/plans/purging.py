@@ -55,6 +55,10 @@ class _Target:
     def doomed(self, scan: DataFrame) -> DataFrame:
         return doomed(scan, self.stored_key, self.cutoff)
 
+    def line(self, rows: int, removed: int) -> tuple:
+        """This table's line of the report."""
+        return (self.table, self.entry.key, self.cutoff, removed, rows - removed)
+
 
 def purge(
     spark: SparkSession,
@@ -73,24 +77,23 @@ def purge(
         cutoffs.of(entry.key)
     if not dry_run and campaign.publish_folder is None:
         raise ValueError("give the catalog campaign a folder to publish to, or ask for a dry run")
-    together = dry_run or (group.atomic if atomic is None else atomic)
-    batches = [group.active] if together else [[entry] for entry in group.active]
+    if dry_run:
+        return literal_rows(
+            spark, _count_only(_targets(spark, campaign, group.active, cutoffs)), REPORT_SCHEMA
+        )
+    together = group.atomic if atomic is None else atomic
     report = []
-    for batch in batches:
-        report += _purge_together(spark, campaign, batch, cutoffs, dry_run)
+    for batch in [group.active] if together else [[entry] for entry in group.active]:
+        targets = _targets(spark, campaign, batch, cutoffs)
+        report += _purge_together(spark, campaign.publish_folder, targets)
     return literal_rows(spark, report, REPORT_SCHEMA)
 
 
-def _purge_together(
-    spark: SparkSession,
-    campaign: Campaign,
-    entries: Sequence[PurgeEntry],
-    cutoffs: Cutoffs,
-    dry_run: bool,
-) -> list[tuple]:
-    """Purge some tables and publish them in one step; their lines of the report."""
+def _targets(
+    spark: SparkSession, campaign: Campaign, entries: Sequence[PurgeEntry], cutoffs: Cutoffs
+) -> list[_Target]:
     scans = campaign.scans(spark, [entry.table for entry in entries])
-    targets = [
+    return [
         _Target(
             entry,
             float(cutoffs.of(entry.key)),
@@ -99,38 +102,47 @@ def _purge_together(
         )
         for entry in entries
     ]
-    whole = [(target.table, "whole", scan) for target in targets for scan in target.scans]
-    if dry_run:
-        gone = [(t.table, "gone", t.doomed(scan)) for t in targets for scan in t.scans]
-        counts = _count(whole + gone)
-        removed = {target.table: counts[target.table, "gone"] for target in targets}
-    else:
-        files = _doomed_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            run = uuid.uuid4().hex
-            # The names of these files come to the driver, which plans the read of each anyway.
-            touched, removed = defaultdict(list), defaultdict(int)
-            for file in files.collect():
-                touched[file.target].append(file.path)
-                removed[file.target] += file.removed
-            old, new = _rewrite(spark, campaign.publish_folder, run, targets, touched)
-            counts = _count(
-                whole
-                + [(table, "old", rows) for table, rows in old.items()]
-                + [(table, "new", rows) for table, rows in new.items()]
-            )
-            _check_written(counts, removed)
-            if touched:
-                filled = [table for table in new if counts[table, "new"]]
-                _publish(spark, campaign.publish_folder, run, files, filled)
-        finally:
-            files.unpersist()
+
+
+def _count_only(targets: Sequence[_Target]) -> list[tuple]:
+    """The report of a purge that does not take place."""
+    gone = [(target.table, "gone", target.doomed(scan)) for target in targets for scan in target.scans]
+    counts = _count(_whole(targets) + gone)
     return [
-        (t.table, t.entry.key, t.cutoff, removed[t.table], counts[t.table, "whole"] - removed[t.table])
-        for t in targets
+        target.line(counts[target.table, "whole"], counts[target.table, "gone"])
+        for target in targets
     ]
 
 
+def _purge_together(spark: SparkSession, folder: str, targets: Sequence[_Target]) -> list[tuple]:
+    """Purge some tables and publish them in one step; their lines of the report."""
+    run = uuid.uuid4().hex
+    files = _doomed_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # The names of these files come to the driver, which plans the read of each anyway.
+        touched, removed = defaultdict(list), defaultdict(int)
+        for file in files.collect():
+            touched[file.target].append(file.path)
+            removed[file.target] += file.removed
+        old, new = _rewrite(spark, folder, run, targets, touched)
+        counts = _count(
+            _whole(targets)
+            + [(table, "old", rows) for table, rows in old.items()]
+            + [(table, "new", rows) for table, rows in new.items()]
+        )
+        _check_written(counts, removed)
+        if touched:
+            filled = [table for table in new if counts[table, "new"]]
+            _publish(spark, folder, run, files, filled)
+    finally:
+        files.unpersist()
+    return [target.line(counts[target.table, "whole"], removed[target.table]) for target in targets]
+
+
+def _whole(targets: Sequence[_Target]) -> list[tuple[str, str, DataFrame]]:
+    return [(target.table, "whole", scan) for target in targets for scan in target.scans]
+
+
 def _doomed_per_file(targets: Sequence[_Target]) -> DataFrame:
     """``target, path, removed`` of the files with doomed rows.
 

@@ -8,6 +8,7 @@ from plans import explained, files_read
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tailtrim.functions import literal_rows
 from tailtrim.operators import Cutoffs, survivors
 from tailtrim.plans import PurgeEntry, PurgeGroup, clean_up, purge
 from tailtrim.plans import purging
@@ -24,7 +25,11 @@ def group(*tables, atomic=True):
 
 def write(spark, root, table, keys, files=1, mode="error"):
     """A table of the given session keys, in order, as so many files of ascending ids."""
-    rows = spark.createDataFrame([(k, f"row {k}") for k in keys], "sessionid bigint, note string")
+    if isinstance(keys, range) or not keys:
+        ids = spark.range(min(keys, default=0), max(keys, default=-1) + 1, 1, 1).toDF(SESSION)
+    else:
+        ids = literal_rows(spark, [(k,) for k in keys], "sessionid bigint")
+    rows = ids.withColumn("note", F.expr("concat('row ', sessionid)"))
     if files > 1:
         rows = rows.repartitionByRange(files, SESSION).sortWithinPartitions(SESSION)
     else:
