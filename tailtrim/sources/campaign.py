@@ -81,7 +81,7 @@ def load(
 def load_all(
     spark: SparkSession, campaign: Campaign, tables: Sequence[str], keys: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """Several tables of a campaign, see :func:`load`."""
+    """Several tables of a campaign as of one moment, see :func:`load`."""
     loaded = {}
     for table, scans in campaign.scans(spark, tables).items():
         rows = reduce(DataFrame.unionAll, scans)

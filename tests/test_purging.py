@@ -246,6 +246,14 @@ def test_rows_appended_after_a_purge_belong_to_the_table(spark, root, campaign):
     assert keys(spark, campaign, "a") == Counter(range(7))
 
 
+def test_a_reader_that_began_before_a_purge_is_not_disturbed(spark, root, campaign):
+    write(spark, root, "a", range(10))
+    earlier = load(spark, campaign, "a")
+    purge(spark, campaign, group("a"), Cutoffs(5))
+    assert earlier.count() == 10
+    assert load(spark, campaign, "a").count() == 5
+
+
 def test_partitioned_table(spark, root, campaign):
     rows = spark.range(100).toDF(SESSION).withColumn("day", F.expr("concat('d', sessionid % 3)"))
     rows.write.partitionBy("day").parquet(f"{root}/a.parquet")
