@@ -45,6 +45,7 @@ class _Target:
 
     entry: PurgeEntry
     cutoff: float
+    location: str
     stored_key: str
     scans: list[DataFrame]
 
@@ -97,6 +98,7 @@ def _targets(
         _Target(
             entry,
             float(cutoffs.of(entry.key)),
+            campaign.location(entry.table),
             campaign.stored_column(entry.table, entry.key),
             scans[entry.table],
         )
@@ -132,8 +134,8 @@ def _purge_together(spark: SparkSession, folder: str, targets: Sequence[_Target]
         )
         _check_written(counts, removed)
         if touched:
-            filled = [table for table in new if counts[table, "new"]]
-            _publish(spark, folder, run, files, filled)
+            filled = [target for target in targets if counts[target.table, "new"]]
+            _publish(spark, folder, run, targets, files, filled)
     finally:
         files.unpersist()
     return [target.line(counts[target.table, "whole"], removed[target.table]) for target in targets]
@@ -179,7 +181,7 @@ def _rewrite(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Write the surviving rows of the touched files of each table to a new folder.
 
-    All rows of the touched files, and the rows read back from the new ones, by table.
+    Returns all rows of the touched files, and the rows read back from the new ones, by table.
     """
     touched_targets = [target for target in targets if target.table in touched]
     old = {
@@ -214,11 +216,23 @@ def _check_written(counts: dict[tuple[str, str], int], removed: dict[str, int])
 
 
 def _publish(
-    spark: SparkSession, folder: str, run: str, files: DataFrame, filled: Sequence[str]
+    spark: SparkSession,
+    folder: str,
+    run: str,
+    targets: Sequence[_Target],
+    files: DataFrame,
+    filled: Sequence[_Target],
 ) -> None:
     """Commit the purge of all tables at once; ``filled`` are those with rows in new files."""
-    changes = files.select(F.lit(run).alias("run"), "target", F.lit("without").alias("change"), "path")
+    locations = F.create_map(*[F.lit(text) for t in targets for text in (t.table, t.location)])
+    changes = files.select(
+        F.lit(run).alias("run"),
+        "target",
+        locations[F.col("target")].alias("delivered"),
+        F.lit("without").alias("change"),
+        "path",
+    )
     if filled:
-        joined = [(run, table, "with", data_folder(folder, run, table)) for table in filled]
+        joined = [(run, t.table, t.location, "with", data_folder(folder, run, t.table)) for t in filled]
         changes = changes.unionAll(literal_rows(spark, joined, LOG_SCHEMA))
     append_changes(changes, folder)

@@ -51,23 +51,25 @@ class Campaign:
     def stored_column(self, table: str, column: str) -> str:
         return self.stored_table(table).columns.get(column, column)
 
-    def delivered(self, spark: SparkSession, stored_name: str) -> DataFrame:
-        """A stored table without regard to purges."""
+    def location(self, table: str) -> str:
+        """The catalog name or the folder of a table as it was delivered."""
+        name = self.stored_table(table).name
         if self.database is not None:
-            return spark.table(f"{self.database}.{stored_name}")
-        return spark.read.parquet(f"{self.root.rstrip('/')}/{stored_name}{self.suffix}")
+            return f"{self.database}.{name}".lower()
+        return f"{self.root.rstrip('/')}/{name}{self.suffix}"
 
     def scans(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, list[DataFrame]]:
         """The scans whose rows make up each table now; the purge log is read once for all."""
         changes = {}
         if self.publish_folder is not None:
             changes = published.read_changes(spark, self.publish_folder, tables)
-        names = {table: self.stored_table(table).name for table in tables}
-        delivered = {name: self.delivered(spark, name) for name in dict.fromkeys(names.values())}
+        locations = {table: self.location(table) for table in tables}
+        read = spark.read.parquet if self.database is None else spark.table
+        delivered = {location: read(location) for location in dict.fromkeys(locations.values())}
         unchanged = published.Changes()
         return {
-            table: changes.get(table, unchanged).apply(spark, delivered[name])
-            for table, name in names.items()
+            table: changes.get(table, unchanged).apply(spark, location, delivered[location])
+            for table, location in locations.items()
         }
 
 

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "run string, target string, change string, path string"
+LOG_SCHEMA = "run string, target string, delivered string, change string, path string"
 
 FILE_PATH = "_metadata.file_path"
 
@@ -28,9 +28,16 @@ class Changes:
 
     without: list[str] = field(default_factory=list)
     joined: list[str] = field(default_factory=list)
+    locations: set[str] = field(default_factory=set)
 
-    def apply(self, spark: SparkSession, delivered: DataFrame) -> list[DataFrame]:
-        """The scans that make up the table now, given the delivered one."""
+    def apply(self, spark: SparkSession, location: str, delivered: DataFrame) -> list[DataFrame]:
+        """The scans that make up the table now, given the delivered one.
+
+        Files are told apart by their full path, so a purged table has to be read from where it was
+        purged: by another name of the same place, the files that left it would not be recognised.
+        """
+        if self.locations - {location}:
+            raise ValueError(f"{location} was purged as {', '.join(sorted(self.locations))}")
         scans = [delivered]
         if self.joined:
             scans.append(spark.read.schema(delivered.schema).parquet(*self.joined))
@@ -50,8 +57,9 @@ def in_files(paths: Iterable[str]) -> Column:
 
     Built as one SQL expression: a call into the JVM per path takes seconds for some thousand paths.
     """
-    quoted = (path.replace("\\", "\\\\").replace("'", "\\'") for path in paths)
-    return F.expr(f"{FILE_PATH} IN ({', '.join(f"'{path}'" for path in quoted)})")
+    escaped = (path.replace("\\", "\\\\").replace("'", "\\'") for path in paths)
+    listed = ", ".join(f"'{path}'" for path in escaped)
+    return F.expr(f"{FILE_PATH} IN ({listed})")
 
 
 def read_changes(
@@ -71,6 +79,7 @@ def read_changes(
     changes = defaultdict(Changes)
     for entry in log.filter(F.lower("target").isin(*names)).collect():
         table = changes[names[entry.target.lower()]]
+        table.locations.add(entry.delivered)
         (table.joined if entry.change == "with" else table.without).append(entry.path)
     for name, table in changes.items():
         path, times = Counter(table.without).most_common(1)[0]

@@ -188,7 +188,7 @@ def test_files_that_left_the_table_are_not_opened(spark, root, campaign):
 def test_counting_reads_the_key_column_only(spark, root, campaign):
     write(spark, root, "a", range(100), files=4)
     target = purging._Target(
-        PurgeEntry("a", SESSION), 50.0, SESSION, campaign.scans(spark, ["a"])["a"]
+        PurgeEntry("a", SESSION), 50.0, campaign.location("a"), SESSION, campaign.scans(spark, ["a"])["a"]
     )
     plan = explained(purging._doomed_per_file([target]))
     assert "ReadSchema: struct<sessionid:bigint>" in plan
@@ -283,6 +283,14 @@ def test_publishing_elsewhere_leaves_the_delivered_folder_alone(spark, root):
     assert keys(spark, Campaign(root=f"{root}/delivered"), "a") == Counter(range(10))
 
 
+def test_a_purged_table_is_not_read_by_another_path(spark, root, campaign):
+    write(spark, root, "a", range(10))
+    purge(spark, campaign, group("a"), Cutoffs(5))
+    assert load(spark, Campaign(root=f"{root}/"), "a").count() == 5
+    with pytest.raises(ValueError, match="was purged as"):
+        load(spark, Campaign(root=f"file:{root}", publish_to=root), "a")
+
+
 def test_two_purges_at_the_same_time_are_noticed(spark, root, campaign, monkeypatch):
     write(spark, root, "a", range(10))
     publish = purging._publish

@@ -106,7 +106,9 @@ def test_hot_ids_on_both_sides_join_exactly(spark, broadcast_bytes):
 
 def test_hot_id_is_spread_over_shuffle_partitions(spark):
     filelist = files(spark, [(i, f"c{i}") for i in range(50)])
-    hot = spark.range(30_000).selectExpr("id AS sessionid", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 50 END AS fileid")
+    hot = spark.range(30_000).selectExpr(
+        "id AS sessionid", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 50 END AS fileid"
+    )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
