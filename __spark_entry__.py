@@ -6,6 +6,7 @@ and lineitem, orders and events the derived tables, see ``FIXTURES.md``.
 
 from __future__ import annotations
 
+import importlib
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -71,6 +72,20 @@ def new_campaign(spark: SparkSession, sf_dir: str) -> Campaign:
     return stand_in_campaign(sf_dir, f"{shared_folder(spark)}/tailtrim-{uuid.uuid4().hex}")
 
 
+def optional(name: str):
+    """A module that may have been left out of this copy of the library, or None."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name is not None and f"{name}.".startswith(f"{error.name}."):
+            return None
+        raise
+
+
+llm_queries = optional("tailtrim.llm.queries")
+corpus_pipeline = optional("corpus_pipeline") if llm_queries else None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return lookup_sessions_files(spark, "/root/testdata/sf0.001")
 
@@ -166,6 +181,15 @@ def published_table(table: str, group: PurgeGroup) -> Callable[[SparkSession, st
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    registered = clean_up_queries()
+    if llm_queries:
+        registered |= llm_queries.QUERIES
+    if corpus_pipeline:
+        registered["pipeline"] = corpus_pipeline.run
+    return registered
+
+
+def clean_up_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "filter_collection_contains": filter_collection_contains,
         "join_filelist_sessions": join_filelist_sessions,
@@ -209,6 +233,15 @@ def _counts_sql(group: PurgeGroup, with_cutoff: bool = False) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = clean_up_sql()
+    if llm_queries:
+        sql |= llm_queries.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
+def clean_up_sql() -> dict[str, str]:
     matched = f"""
         FROM customer f, orders s WHERE f.c_name LIKE '{PATTERN}' AND f.c_custkey = s.o_custkey"""
     one_customer = f"""

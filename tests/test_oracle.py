@@ -10,8 +10,8 @@ import __spark_entry__ as entry_module
 
 TESTDATA = "/root/testdata"
 SCALES = [s for s in ("sf0.001", "sf0.01") if os.path.isdir(f"{TESTDATA}/{s}")]
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = entry_module.clean_up_queries()
+ORACLE = entry_module.clean_up_sql()
 
 
 @pytest.fixture(scope="module")
