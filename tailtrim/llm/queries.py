@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tailtrim.llm import mixing, sharding
+from tailtrim.llm import mixing, neardup, sharding
 
 QUERIES = {
+    "op3_neardup": neardup.op3_neardup,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
 }
