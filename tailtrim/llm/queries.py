@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tailtrim.llm import mixing, neardup, sharding
+from tailtrim.llm import fingerprints, mixing, neardup, sharding, tokens
 
 QUERIES = {
     "op3_neardup": neardup.op3_neardup,
+    "op4_tokens": tokens.op4_tokens,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
+    "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 
 ORACLE_SQL = {
