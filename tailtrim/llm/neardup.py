@@ -16,7 +16,8 @@ their Jaccard similarity, and the sketch of a union is the register-wise maximum
    further link; its members are compared, in blocks of a bounded number, across components only,
    on sketches, and what passes is confirmed as in 3. So no link between different texts is lost but
    by the chance that no band of theirs agrees or that the estimate is far off, about one in a million
-   and one in a hundred thousand for a pair right at the threshold.
+   and one in thirty thousand for a pair right at the threshold; a document has to lose all its links
+   to leave its component.
 
 Sizes of buckets are not capped; a large one is cut into blocks, and each pair of blocks is a piece of
 work of its own. Nothing is collected to the driver.
@@ -43,15 +44,17 @@ from tailtrim.llm.common import columns_or_null, saved, small_batches, table
 from tailtrim.llm.components import components
 from tailtrim.llm.shingles import mixed, sets_of_column
 
-REGISTERS = 256
+REGISTERS = 512
+# Registers that go into bands; all of them go into estimates.
+BAND_REGISTERS = 192
 # Rate, base and limit of the registers as in the published description of SetSketch.
 RATE = 20.0
 BASE = 1.001
 LIMIT = 65534
 # Chance that a pair right at the threshold shares no band.
 MISS = 1e-6
-# An estimate this far below the threshold is over four standard deviations off.
-MARGIN = 0.10
+# Pairs are confirmed unless their estimate is so many standard deviations below the threshold.
+DEVIATIONS = 4.0
 # Members of a bucket that are compared with each other as one piece of work.
 BLOCK = 512
 
@@ -76,14 +79,20 @@ class Settings:
     def bands(self) -> tuple[int, int]:
         """Number of bands and registers in each: the longest bands that miss seldom enough.
 
-        A quarter of the registers is left out, which keeps the number of keys per document down.
+        Not all registers take part, which keeps the number of keys per document down.
         """
+        registers = min(BAND_REGISTERS, self.registers)
         for length in range(16, 0, -1):
             alike = self.threshold**length
             needed = 1 if alike >= 1 else math.ceil(math.log(MISS) / math.log1p(-alike))
-            if needed * length <= self.registers * 3 // 4:
+            if needed * length <= registers:
                 return needed, length
-        return self.registers, 1
+        return registers, 1
+
+    @property
+    def least_estimate(self) -> float:
+        deviation = math.sqrt(self.threshold * (1 - self.threshold) / self.registers)
+        return self.threshold - DEVIATIONS * deviation
 
 
 def sketch(hashes: np.ndarray, rows: np.ndarray, count: int, registers: int) -> np.ndarray:
@@ -189,7 +198,10 @@ def _registers(column: pa.Array, registers: int) -> np.ndarray:
 
 
 def _confirmed(pairs: DataFrame, sketched: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs ``a, b`` that are linked: plausible by their sketches, then by their full sets."""
+    """The pairs ``a, b`` that are linked: plausible by their sketches, then by their full sets.
+
+    Pairs and ids grow with the corpus, so these joins always shuffle and merge, at any size.
+    """
 
     def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +210,7 @@ def _confirmed(pairs: DataFrame, sketched: DataFrame, docs: DataFrame, settings:
                 alike = likely_similarity(
                     *[_registers(batch.column(c), settings.registers) for c in ("s_a", "s_b")], *sizes
                 )
-                keep = pa.array(alike >= settings.threshold - MARGIN)
+                keep = pa.array(alike >= settings.least_estimate)
                 yield batch.select(["a", "b"]).filter(keep)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,16 +230,16 @@ def _confirmed(pairs: DataFrame, sketched: DataFrame, docs: DataFrame, settings:
     prints = sketched.select("doc_id", "n_shingles", "sketch")
     sizes_fit = F.least("n_a", "n_b") * settings.of >= F.greatest("n_a", "n_b") * settings.above
     likely = (
-        pairs.join(prints.toDF("a", "n_a", "s_a"), "a")
-        .join(prints.toDF("b", "n_b", "s_b"), "b")
+        pairs.hint("merge").join(prints.toDF("a", "n_a", "s_a"), "a")
+        .hint("merge").join(prints.toDF("b", "n_b", "s_b"), "b")
         .filter(sizes_fit)
         .mapInArrow(plausible, "a bigint, b bigint")
     )
     likely = saved(likely, "likely")
     # One shuffle of the texts, to those that take part; their pairs are then joined from these few.
     ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = saved(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), "texts")
-    both = likely.join(texts.toDF("a", "t_a"), "a").join(texts.toDF("b", "t_b"), "b")
+    texts = saved(docs.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"), "texts")
+    both = likely.hint("merge").join(texts.toDF("a", "t_a"), "a").hint("merge").join(texts.toDF("b", "t_b"), "b")
     return saved(both.mapInArrow(exact, "a bigint, b bigint"), "links")
 
 
@@ -258,7 +270,7 @@ def _hidden_pairs(buckets: DataFrame, groups: DataFrame, sketched: DataFrame, se
     prints = sketched.select(F.col("doc_id").alias("id"), "n_shingles", "sketch")
     cells = placed.join(prints, "id").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     bands, length = settings.bands
-    least = settings.threshold - MARGIN
+    least = settings.least_estimate
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
@@ -278,7 +290,7 @@ def _hidden_pairs(buckets: DataFrame, groups: DataFrame, sketched: DataFrame, se
                 if not len(rest):
                     continue
                 equal = registers[rest] == registers[i]
-                rest, equal = (x[equal.mean(axis=1) >= least - MARGIN] for x in (rest, equal))
+                rest, equal = (x[equal.mean(axis=1) >= least - 0.05] for x in (rest, equal))
                 # A pair that meets in several buckets is reported by the first of them.
                 first = equal[:, : bands * length].reshape(-1, bands, length).all(axis=2).argmax(axis=1)
                 rest = rest[first == band]

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from tailtrim.llm import fingerprints, mixing, neardup, sharding, tokens
+from tailtrim.llm import (
+    decontamination,
+    fingerprints,
+    language,
+    mixing,
+    neardup,
+    sharding,
+    tokens,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op3_neardup": neardup.op3_neardup,
     "op4_tokens": tokens.op4_tokens,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
+    "op8_decontamination": decontamination.op8_decontamination,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 

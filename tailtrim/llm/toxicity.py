@@ -3,13 +3,14 @@
 Labels are given for documents, so the words to learn from are labelled first. For each word of a
 bounded sample of labelled documents it is counted in how many families of toxic and of clean documents
 it occurs (a family is a document with its near copies, which would otherwise make all their words look
-telling). A word of a toxic document that speaks clearly enough for toxicity is labelled toxic, any
-other clean. A two-state chain with features of the word and its neighbours is then fitted to these
+telling), and so are the beginnings of words, for languages that build words from stems. A word of a
+toxic document that, as a whole or by its beginning, speaks clearly enough for toxicity is labelled
+toxic, any other clean. A two-state chain with features of the word and its neighbours is then fitted to these
 labels by gradient ascent on the conditional likelihood, in numpy.
 
 Every whole text is tagged with it: forward and backward recursions give each word the chance that it
 is toxic, in blocks of words whose transfer matrices are multiplied, so texts of any length are handled
-by array operations. A document's score is a calibrated function of the expected number of toxic words;
+by array operations. A document's score is a calibrated function of the expected number and share of toxic words;
 runs of words that are more likely toxic than not are its offending spans.
 
 Defined results: a null or empty text has no words and the score of a document without toxic words, and
@@ -23,7 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from tailtrim.llm.common import SLICE_BYTES, WORD, columns_or_null, is_share, sm
 from tailtrim.llm.shingles import mixed
 
 # About so many labelled documents of each kind are learned from, none longer than SAMPLE_BYTES.
-SAMPLE_TOXIC = 1500
-SAMPLE_CLEAN = 3000
+SAMPLE_TOXIC = 1000
+SAMPLE_CLEAN = 2000
 SAMPLE_BYTES = 100_000
 # A toxic word is this much more frequent (in log odds) in toxic families, and the likelihood ratio
 # against chance is this much above what the best of all words of the sample reaches by chance.
@@ -44,6 +45,8 @@ LEAST_EVIDENCE = 2.0
 ABOVE_CHANCE = 3.0
 # Words on either side of a labelled one that the chain is fitted on.
 CONTEXT = 32
+# Letters of the beginnings of words that are learned besides whole words.
+BEGINNINGS = (5, 6, 7)
 STEPS = 150
 BLOCK = 64
 
@@ -55,28 +58,31 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    # Evidence of the words that have some, in steps from 0 to EVIDENCE_STEPS - 1.
+    # Evidence of the words and beginnings that have some, in steps from 1 to EVIDENCE_STEPS - 1.
     evidence: dict[str, int]
     # Weights of the features of the word itself, of the one before and of the one after.
     own: np.ndarray
     before: np.ndarray
     after: np.ndarray
     transitions: np.ndarray
-    # Logistic function of the logarithm of the expected number of toxic words.
-    intercept: float
-    slope: float
-    kinds: int = field(default=EVIDENCE_STEPS + 4)
+    # Logistic function of the logarithms of the expected number of toxic words and of their share.
+    calibration: np.ndarray
 
 
 def plain(word: str) -> str:
     return _EDGES.sub("", word).lower()
 
 
+def units(bare: str) -> list[str]:
+    """A word as a whole, marked at its end, and its beginnings."""
+    return [bare + "$", *[bare[:size] for size in BEGINNINGS if len(bare) >= size]]
+
+
 def features(word: str, evidence: dict[str, int]) -> tuple[int, int]:
     """Two features of a word: its evidence, and its form."""
-    bare = plain(word)
+    said = max(evidence.get(unit, 0) for unit in units(plain(word)))
     form = 0 if word.islower() else 1 if word.isupper() and len(word) > 1 else 2 if any(c.isdigit() for c in word) else 3
-    return evidence.get(bare, 0), EVIDENCE_STEPS + form
+    return said, EVIDENCE_STEPS + form
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
@@ -115,15 +121,15 @@ def _families(word_sets: list[set[str]]) -> list[int]:
 
 
 def _evidence(sample: list[tuple[str, int]]) -> tuple[dict[str, float], set[str]]:
-    """Log odds, of toxic against clean families, of the words of toxic ones; the telling words."""
+    """Log odds, of toxic against clean families, of words and beginnings; the telling ones."""
     word_sets = [{plain(w) for w in _WORD.findall(text)} - {""} for text, _ in sample]
     family = _families(word_sets)
     seen: list[dict[str, set[int]]] = [defaultdict(set), defaultdict(set)]
     sizes = [set(), set()]
     for words, own, (_, toxic) in zip(word_sets, family, sample):
         sizes[toxic].add(own)
-        for word in words:
-            seen[toxic][word].add(own)
+        for unit in {unit for word in words for unit in units(word)}:
+            seen[toxic][unit].add(own)
     totals = [max(len(s), 1) for s in sizes]
     share = totals[1] / sum(totals)
     enough = np.log(len(seen[0].keys() | seen[1].keys()) + 1) + ABOVE_CHANCE
@@ -163,9 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | float:
         evidence[word] = max(step, 4) if word in telling else min(step, 3)
     windows, tags = _windows(sample, evidence, telling)
     own, before, after, transitions = _train_chain(windows, tags)
-    model = ToxicityModel(evidence, own, before, after, transitions, 0.0, 1.0)
-    intercept, slope = _calibrate(model, sample)
-    return ToxicityModel(evidence, own, before, after, transitions, intercept, slope)
+    model = ToxicityModel(evidence, own, before, after, transitions, np.zeros(3))
+    return replace(model, calibration=_calibrate(model, sample))
 
 
 def _windows(sample: list, evidence: dict[str, int], telling: set[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +179,7 @@ def _windows(sample: list, evidence: dict[str, int], telling: set[str]) -> tuple
     rows, tags = [], []
     for text, label in sample:
         words = _WORD.findall(text)
-        marks = [int(bool(label) and plain(w) in telling) for w in words]
+        marks = [int(bool(label) and not telling.isdisjoint(units(plain(w)))) for w in words]
         # One stretch from the start, and one around each toxic word that is not yet in a stretch.
         starts = [0]
         for place, mark in enumerate(marks):
@@ -346,7 +351,7 @@ class Tagger:
     def scores(self, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
         owner = np.repeat(np.arange(len(counts)), counts)
         expected = np.bincount(owner, chances, minlength=len(counts))
-        return _logistic(self.model.intercept + self.model.slope * _summary(expected))
+        return _logistic(_summary(expected, counts) @ self.model.calibration)
 
 
 def _only_blanks(texts: pa.Array) -> pa.Array:
@@ -355,31 +360,31 @@ def _only_blanks(texts: pa.Array) -> pa.Array:
     return texts
 
 
-def _summary(expected: np.ndarray) -> np.ndarray:
-    return np.log(expected + 0.01)
+def _summary(expected: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    number = np.log(expected + 0.01)
+    return np.stack([np.ones(len(counts)), number, number - np.log(counts + 20)], axis=1)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _calibrate(model: ToxicityModel, sample: list[tuple[str, int]]) -> tuple[float, float]:
-    """Intercept and slope of the score by Newton's method on the log loss of the sample."""
+def _calibrate(model: ToxicityModel, sample: list[tuple[str, int]]) -> np.ndarray:
+    """Weights of the score by Newton's method on the log loss of the sample."""
     tagger = Tagger(model)
-    expected = []
+    parts = []
     for first in range(0, len(sample), 200):
         chances, counts = tagger.chances(pa.array([text for text, _ in sample[first : first + 200]]))
         owner = np.repeat(np.arange(len(counts)), counts)
-        expected.append(np.bincount(owner, chances, minlength=len(counts)))
-    x = _summary(np.concatenate(expected))
-    y = np.array([label for _, label in sample], float)
-    inputs = np.stack([np.ones_like(x), x], axis=1)
-    weights = np.zeros(2)
+        parts.append(_summary(np.bincount(owner, chances, minlength=len(counts)), counts))
+    inputs = np.concatenate(parts)
+    labels = np.array([label for _, label in sample], float)
+    weights = np.zeros(inputs.shape[1])
     for _ in range(30):
         p = _logistic(inputs @ weights)
-        curvature = (inputs * (p * (1 - p))[:, None]).T @ inputs + 1e-3 * np.eye(2)
-        weights += np.linalg.solve(curvature, inputs.T @ (y - p) - 1e-3 * weights)
-    return float(weights[0]), float(weights[1])
+        curvature = (inputs * (p * (1 - p))[:, None]).T @ inputs + 1e-2 * np.eye(len(weights))
+        weights += np.linalg.solve(curvature, inputs.T @ (labels - p) - 1e-2 * weights)
+    return weights
 
 
 _SCORE = "score double, expected_words double, spans array<struct<start:int,end:int,chance:double>>"
