@@ -71,6 +71,30 @@ def mix(docs: DataFrame, seed: str = SEED, max_repeats: int = MAX_REPEATS) -> Da
 
     Reruns agree: the shuffle is a hash of seed and id.
     """
+    return _taken(docs, seed, max_repeats).drop("tie")
+
+
+def mixed_rows(docs: DataFrame, seed: str = SEED, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows the mix takes, with all columns, each as often as it is taken.
+
+    Equal rows are taken as often as that of them which is taken most.
+    """
+    taken = _taken(docs, seed, max_repeats).filter("taken > 0")
+    ids = F.coalesce("doc_id", F.lit(-(2**63)))
+    times = taken.groupBy(ids.alias("_id"), F.col("tie").alias("_tie")).agg(
+        F.max(F.expr("taken div size")).cast("int").alias("_times")
+    )
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("_tie"),
+    )
+    # As many lines as documents taken, so the join always shuffles.
+    joined = rows.join(times.hint("merge"), ["_id", "_tie"])
+    return joined.select("_row", F.explode(F.sequence(F.lit(1), "_times"))).select("_row.*")
+
+
+def _taken(docs: DataFrame, seed: str, max_repeats: int) -> DataFrame:
     needed = columns_or_null(docs, {"doc_id": "bigint", "source": "string", "text": "string"})
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     sized = saved(
@@ -103,7 +127,7 @@ def mix(docs: DataFrame, seed: str = SEED, max_repeats: int = MAX_REPEATS) -> Da
     return queued.crossJoin(F.broadcast(last)).select(
         "doc_id", "size", "source", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce(taken, F.lit(0)) * F.col("size")).otherwise(F.lit(0))
-        .cast("bigint").alias("taken"),
+        .cast("bigint").alias("taken"), "tie",
     )
 
 

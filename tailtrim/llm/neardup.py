@@ -37,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailtrim.llm.common import columns_or_null, saved, small_batches, table
@@ -356,6 +356,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row of each group of near copies, with all columns, and all rows without an id.
+
+    Of rows with the same id the one with the smallest text stays.
+    """
+    ids = near_duplicates(docs, settings).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    ids = ids.withColumnRenamed("doc_id", "_kept_id")
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("_text"))
+    # The ids are as many as the documents kept, so the join always shuffles.
+    kept = rows.join(ids.hint("merge"), F.col("_id") == F.col("_kept_id"), "left_semi")
+    order = Window.partitionBy("_id").orderBy(F.asc_nulls_first("_text"))
+    one = kept.withColumn("_number", F.row_number().over(order)).filter("_number = 1").select("_row.*")
+    return one.unionAll(docs.filter(F.col("doc_id").isNull()))
+
+
 OP3_SETTINGS = Settings(words=3, above=85, of=100)
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tailtrim.llm import (
+    chat,
     decontamination,
     fingerprints,
     language,
+    linededup,
     mixing,
     neardup,
     sharding,
@@ -15,16 +17,19 @@ from tailtrim.llm import (
 
 QUERIES = {
     "op1_language": language.op1_language,
+    "op2_linededup": linededup.op2_linededup,
     "op3_neardup": neardup.op3_neardup,
     "op4_tokens": tokens.op4_tokens,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
+    "op7_chat": chat.op7_chat,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 
 ORACLE_SQL = {
+    "op2_linededup": linededup.OP2_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op6_sharding": sharding.OP6_SQL,
 }

@@ -41,7 +41,7 @@ SAMPLE_CLEAN = 2000
 SAMPLE_BYTES = 100_000
 # A toxic word is this much more frequent (in log odds) in toxic families, and the likelihood ratio
 # against chance is this much above what the best of all words of the sample reaches by chance.
-LEAST_EVIDENCE = 2.0
+LEAST_EVIDENCE = 1.5
 ABOVE_CHANCE = 3.0
 # Words on either side of a labelled one that the chain is fitted on.
 CONTEXT = 32
@@ -85,8 +85,10 @@ def features(word: str, evidence: dict[str, int]) -> tuple[int, int]:
     return said, EVIDENCE_STEPS + form
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
-    """Texts and labels of about so many labelled documents of each kind, chosen by hash."""
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]], float]:
+    """Texts and labels of about so many labelled documents of each kind, chosen by hash; the log odds
+    of toxic documents among all labelled ones.
+    """
     labels = columns_or_null(labels, {"doc_id": "bigint", "toxic": "int"}).filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
     one_each = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r.toxic: r.n for r in one_each.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
@@ -98,7 +100,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
     # The sample has about SAMPLE_TOXIC + SAMPLE_CLEAN lines, whatever the input.
     texts = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
     rows = texts.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).collect()
-    return sorted((r.text, r.toxic) for r in rows)
+    prior = float(np.log(max(counts.get(1, 0), 0.5) / max(counts.get(0, 0), 0.5)))
+    return sorted((r.text, r.toxic) for r in rows), prior
 
 
 def _families(word_sets: list[set[str]]) -> list[int]:
@@ -154,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | float:
     """
     small_batches(docs.sparkSession)
     docs = columns_or_null(docs, {"doc_id": "bigint", "text": "string"})
-    sample = _sample(docs, labels)
+    sample, prior = _sample(docs, labels)
     toxic = sum(label for _, label in sample)
     base = toxic / max(len(sample), 1)
     if not toxic or toxic == len(sample):
@@ -170,7 +173,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | float:
     windows, tags = _windows(sample, evidence, telling)
     own, before, after, transitions = _train_chain(windows, tags)
     model = ToxicityModel(evidence, own, before, after, transitions, np.zeros(3))
-    return replace(model, calibration=_calibrate(model, sample))
+    weights = _calibrate(model, sample)
+    # The sample holds toxic documents more often than the table does.
+    weights[0] += prior - np.log(toxic / (len(sample) - toxic))
+    return replace(model, calibration=weights)
 
 
 def _windows(sample: list, evidence: dict[str, int], telling: set[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -454,6 +460,11 @@ def _spans(text: str, chances: np.ndarray) -> list[dict]:
     return spans
 
 
+def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is not found toxic."""
+    return score(docs, fit(docs, labels)).filter(F.col("score") < 0.5).select("row.*")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit(docs, labels.filter(~is_share("doc_id", 5, 0)))
