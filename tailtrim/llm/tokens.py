@@ -27,6 +27,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ SAMPLE_IDS = 4096
 SEGMENT_BYTES = 4 * 1024 * 1024
 CACHED_PIECES = 300_000
 LEVEL = 3
+MARKS = ".,;:!?"
 
 # The head of a payload.
 MAGIC, VERSION = b"TTIDS", 1
@@ -62,7 +64,7 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """Serialized ids of texts. One per task."""
+    """Serialized ids of texts."""
 
     def __init__(self, path: str, by_pieces: bool = True) -> None:
         from tokenizers import Tokenizer
@@ -72,18 +74,63 @@ class Encoder:
         self.end = np.array([END_ID], self.id_type).tobytes()
         self.by_pieces = by_pieces
         self.pieces: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+        self.current: set[str] = set()
+        self.marks: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        """Encode pieces that follow a space; None for one that must stay with what is before it."""
+        """Encode pieces that follow a space; None for one that must stay with what is before it.
+
+        Pieces that were not needed for long are forgotten: those of the generation before the last.
+        """
         if len(self.pieces) > CACHED_PIECES:
-            self.pieces.clear()
-        whole = [w for w in words if w and ("!" <= w[0] <= "~" or "À" <= w[0] <= "ɏ")]
+            self.older, self.pieces = self.pieces, {}
+            words = words | self.current
+        again = {w for w in words if w in self.older}
+        self.pieces |= {w: self.older[w] for w in again}
+        words = words.difference(again)
+        whole = {w for w in words if w and ("!" <= w[0] <= "~" or "À" <= w[0] <= "ɏ")}
         self.pieces |= dict.fromkeys(words.difference(whole))
-        self.pieces |= zip(whole, self._encode([" " + w for w in whole]))
+        # Marks after a letter always begin a token of their own.
+        ended = {}
+        for word in whole:
+            base = word.rstrip(MARKS)
+            if base != word and base[-1:].isalpha() and base[-1] <= "ɏ":
+                ended[word] = base
+        fresh = {w for w in whole if w not in ended}
+        fresh = sorted(fresh | {base for base in ended.values() if base not in self.pieces})
+        self.pieces |= zip(fresh, self._encode([" " + w for w in fresh]))
+        for word, base in ended.items():
+            marks = word[len(base) :]
+            if marks not in self.marks:
+                self.marks[marks] = self._encode([marks])[0]
+            self.pieces[word] = self.pieces[base] + self.marks[marks]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.id_type).tobytes() for e in found]
+        ids = [e.ids for e in found]
+        whole = np.array([i for own in ids for i in own], self.id_type).tobytes()
+        ends = np.cumsum([len(own) for own in ids]) * self.id_type.itemsize
+        return [whole[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+    def _joined(self, first: str, words: list[str], found: list[bytes | None]) -> bytes:
+        """Ids of pieces of which some are joined to the one before them and encoded with it."""
+        parts: list[bytes | None] = []
+        texts: list[str] = []
+        open_text, own = first, None
+        for word, ids in zip(words, found):
+            if ids is None:
+                open_text, own = f"{open_text} {word}", None
+                continue
+            parts.append(own)
+            if own is None:
+                texts.append(open_text)
+            open_text, own = " " + word, ids
+        parts.append(own)
+        if own is None:
+            texts.append(open_text)
+        encoded = iter(self._encode(texts))
+        return b"".join(next(encoded) if ids is None else ids for ids in parts)
 
     def __call__(self, text: str) -> bytes:
         if not text:
@@ -91,27 +138,22 @@ class Encoder:
         if not self.by_pieces:
             return self._encode([text])[0] + self.end
         first, *words = text.split(" ")
-        unknown = set(words).difference(self.pieces)
+        self.current = set(words)
+        unknown = self.current.difference(self.pieces)
         if unknown:
             self._learn(unknown)
-            # Clearing may have dropped pieces of this text.
-            rest = set(words).difference(self.pieces)
-            if rest:
-                self._learn(rest)
         found = [self.pieces[w] for w in words]
         if None in found:
-            # A piece that may not stand alone is joined to the one before it and encoded with it.
-            joined, parts = first, []
-            for word, ids in zip(words, found):
-                if ids is None:
-                    joined += " " + word
-                else:
-                    parts += [joined]
-                    joined = " " + word
-            return b"".join(self._encode([*parts, joined])) + self.end
+            return self._joined(first, words, found) + self.end
         return b"".join([*(self._encode([first]) if first else []), *found, self.end])
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str, by_pieces: bool) -> Encoder:
+    """One encoder per worker process, whatever the number of its tasks."""
+    return Encoder(path, by_pieces)
+
+
 def train_dictionary(docs: DataFrame, path: str, by_pieces: bool = True) -> bytes:
     """A dictionary for the ids of some documents, chosen by hash; empty if there are too few.
 
@@ -122,7 +164,7 @@ def train_dictionary(docs: DataFrame, path: str, by_pieces: bool = True) -> byte
     chosen = F.pmod(F.xxhash64("doc_id", F.lit("dictionary")), F.lit(1_000_000)) < F.lit(share * 1_000_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, by_pieces)
+        encoder = encoder_of(path, by_pieces)
         for batch in batches:
             most = SAMPLE_IDS * encoder.id_type.itemsize
             found = [encoder(text.as_py())[:most] for text in batch.column("text")]
@@ -170,7 +212,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, by_pieces: bool = True
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, by_pieces)
+        encoder = encoder_of(path, by_pieces)
         width = encoder.id_type.itemsize
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
