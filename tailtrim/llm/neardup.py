@@ -237,7 +237,8 @@ def _confirmed(pairs: DataFrame, sketched: DataFrame, docs: DataFrame, settings:
     )
     likely = saved(likely, "likely")
     # One shuffle of the texts, to those that take part; their pairs are then joined from these few.
-    ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    firsts, seconds = likely.select(F.col("a").alias("doc_id")), likely.select(F.col("b").alias("doc_id"))
+    ids = firsts.distinct().unionAll(seconds.distinct()).distinct()
     texts = saved(docs.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"), "texts")
     both = likely.hint("merge").join(texts.toDF("a", "t_a"), "a").hint("merge").join(texts.toDF("b", "t_b"), "b")
     return saved(both.mapInArrow(exact, "a bigint, b bigint"), "links")
