@@ -1,24 +1,26 @@
 """Remove the rows at or above a campaign's cutoffs from every table of a purge group.
 
 Files without such a row stay in the table as they are. Files with one leave the table, and their
-surviving rows are written to new files, in their order and without a shuffle; of a file whose rows
-all go, only the footer is read. So a purge of the tail of a table that grew in id order rewrites the
+surviving rows are written to new files, without a shuffle and with all columns that any of these
+files has; a file whose rows all go is not read again. So a purge of the tail of a table that grew in id order rewrites the
 few files around the cutoff, whatever the size of the table.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import types as T
 
 from tailtrim.functions.literals import literal_rows
 from tailtrim.operators.removal import doomed, survivors
@@ -28,13 +30,18 @@ from tailtrim.sources.campaign import Campaign
 from tailtrim.sources.published import (
     FILE_PATH,
     LOG_SCHEMA,
-    append_changes,
+    Scan,
     data_folder,
     in_files,
+    read_changes,
+    write_changes,
 )
 
 REPORT_SCHEMA = "target string, key string, cutoff double, removed bigint, kept bigint"
 
+# Rows of a rewritten file, so that scattered purges do not leave many small files behind.
+ROWS_PER_FILE = 10_000_000
+
 # Tables of one atomic group that are rewritten at the same time.
 CONCURRENT_REWRITES = 4
 
@@ -47,7 +54,8 @@ class _Target:
     cutoff: float
     location: str
     stored_key: str
-    scans: list[DataFrame]
+    scans: list[Scan]
+    in_catalog: bool = False
 
     @property
     def table(self) -> str:
@@ -101,75 +109,121 @@ def _targets(
             campaign.location(entry.table),
             campaign.stored_column(entry.table, entry.key),
             scans[entry.table],
+            campaign.database is not None,
         )
         for entry in entries
     ]
 
 
+@dataclass
+class _Counts:
+    """Rows of a table, rows that go, and the files of each of its places that hold such rows."""
+
+    rows: int = 0
+    removed: int = 0
+    touched: dict[str, list] = field(default_factory=dict)
+    rows_of: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def kept_of_touched(self) -> int:
+        return sum(file.rows - file.removed for files in self.touched.values() for file in files)
+
+
 def _count_only(targets: Sequence[_Target]) -> list[tuple]:
     """The report of a purge that does not take place."""
-    gone = [(target.table, "gone", target.doomed(scan)) for target in targets for scan in target.scans]
-    counts = _count(_whole(targets) + gone)
-    return [
-        target.line(counts[target.table, "whole"], counts[target.table, "gone"])
-        for target in targets
-    ]
+    counts = _counts(targets, with_files=False)
+    return [target.line(counts[target.table].rows, counts[target.table].removed) for target in targets]
 
 
 def _purge_together(spark: SparkSession, folder: str, targets: Sequence[_Target]) -> list[tuple]:
     """Purge some tables and publish them in one step; their lines of the report."""
     run = uuid.uuid4().hex
-    files = _doomed_per_file(targets).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # The names of these files come to the driver, which plans the read of each anyway.
-        touched, removed = defaultdict(list), defaultdict(int)
-        for file in files.collect():
-            touched[file.target].append(file.path)
-            removed[file.target] += file.removed
-        old, new = _rewrite(spark, folder, run, targets, touched)
-        counts = _count(
-            _whole(targets)
-            + [(table, "old", rows) for table, rows in old.items()]
-            + [(table, "new", rows) for table, rows in new.items()]
+    counts = _counts(targets)
+    touched = [target for target in targets if counts[target.table].touched]
+    if touched:
+        schemas = _rewrite(spark, folder, run, touched, counts)
+        _check_written(spark, folder, run, schemas, counts)
+        _check_unchanged(spark, folder, touched, counts)
+        _publish(spark, folder, run, touched, counts, schemas)
+    return [target.line(counts[target.table].rows, counts[target.table].removed) for target in targets]
+
+
+def _rows_per_file(targets: Sequence[_Target]) -> DataFrame:
+    """``target, scan, path, rows, removed`` of every file.
+
+    Of the doomed rows only the key column is read, of the row groups that reach the cutoff; all rows
+    are counted from the footers. Both are counted before the shuffle, so what is shuffled is a line
+    per file and task.
+    """
+
+    def counted(target: _Target, number: int, rows: DataFrame, doomed: int) -> DataFrame:
+        return rows.select(
+            F.lit(target.table).alias("target"),
+            F.lit(number).alias("scan"),
+            F.col(FILE_PATH).alias("path"),
+            F.lit(doomed).alias("doomed"),
         )
-        _check_written(counts, removed)
-        if touched:
-            filled = [target for target in targets if counts[target.table, "new"]]
-            _publish(spark, folder, run, targets, files, filled)
-    finally:
-        files.unpersist()
-    return [target.line(counts[target.table, "whole"], removed[target.table]) for target in targets]
+
+    parts = [
+        counted(target, number, rows, doomed)
+        for target in targets
+        for number, scan in enumerate(target.scans)
+        for doomed, rows in ((0, scan.rows), (1, target.doomed(scan.rows)))
+    ]
+    return (
+        reduce(DataFrame.unionAll, parts)
+        .groupBy("target", "scan", "path")
+        .agg(F.count_if(F.col("doomed") == 0).alias("rows"), F.sum("doomed").alias("removed"))
+    )
+
+
+def _counts(targets: Sequence[_Target], with_files: bool = True) -> dict[str, _Counts]:
+    """Counts of each table, in one job. Names of files with doomed rows come to the driver, which
+    plans the read of each anyway.
+    """
+    lists = F.collect_list(
+        F.when(F.lit(with_files) & (F.col("removed") > 0), F.struct("path", "rows", "removed"))
+    )
+    lines = _rows_per_file(targets).groupBy("target", "scan").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("removed").alias("removed"),
+        lists.alias("files"),
+    )
+    counts: dict[str, _Counts] = defaultdict(_Counts)
+    scans = {target.table: target.scans for target in targets}
+    for line in lines.collect():
+        table, base = counts[line.target], scans[line.target][line.scan].base
+        table.rows += line.rows
+        table.removed += line.removed
+        if line.files:
+            table.touched[base] = line.files
+        table.rows_of[base] = line.rows
+    return counts
 
 
-def _whole(targets: Sequence[_Target]) -> list[tuple[str, str, DataFrame]]:
-    return [(target.table, "whole", scan) for target in targets for scan in target.scans]
+def _partial(files: Sequence) -> list[str]:
+    """The files of which some rows stay."""
+    return [file.path for file in files if file.rows > file.removed]
 
 
-def _doomed_per_file(targets: Sequence[_Target]) -> DataFrame:
-    """``target, path, removed`` of the files with doomed rows.
+def _touched_rows(spark: SparkSession, target: _Target, scan: Scan, paths: list[str]) -> DataFrame:
+    """Rows of some files of a table, with every column that any of them has.
 
-    Only the key column is read, of the row groups that reach the cutoff, and rows are counted
-    before the shuffle, so what is shuffled is a line per file and task.
+    Their footers alone are merged; types that cannot be merged are an error. A catalog says itself
+    which columns a table has.
     """
-    rows = [
-        target.doomed(scan).select(F.lit(target.table).alias("target"), F.col(FILE_PATH).alias("path"))
-        for target in targets
-        for scan in target.scans
-    ]
-    counted = reduce(DataFrame.unionAll, rows).groupBy("target", "path")
-    return counted.agg(F.count("*").alias("removed"))
+    if target.in_catalog and scan.base == target.location:
+        return scan.rows.filter(in_files(paths))
+    reader = spark.read.option("mergeSchema", "true").option("basePath", scan.base)
+    return reader.parquet(*[unquote(path) for path in paths])
 
 
-def _count(rows: Sequence[tuple[str, str, DataFrame]]) -> dict[tuple[str, str], int]:
-    """Rows per table and label, in one job. Unfiltered rows are counted from the file footers."""
-    counted = [
-        part.agg(F.lit(table).alias("table"), F.lit(label).alias("label"), F.count("*").alias("n"))
-        for table, label, part in rows
-    ]
-    counts = defaultdict(int)
-    for line in reduce(DataFrame.unionAll, counted).collect():
-        counts[line.table, line.label] += line.n
-    return counts
+def _partition_columns(bases: dict[str, list]) -> list[str]:
+    """Names of the partition folders between a place and its files, as ``name=value`` gives them."""
+    for base, files in bases.items():
+        inner = unquote(files[0].path).rpartition(base.rstrip("/").rpartition("/")[2])[2]
+        return [unquote(part.partition("=")[0]) for part in inner.split("/")[:-1] if "=" in part]
+    return []
 
 
 def _rewrite(
@@ -177,42 +231,81 @@ def _rewrite(
     folder: str,
     run: str,
     targets: Sequence[_Target],
-    touched: dict[str, list[str]],
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    counts: dict[str, _Counts],
+) -> dict[str, T.StructType]:
     """Write the surviving rows of the touched files of each table to a new folder.
 
-    Returns all rows of the touched files, and the rows read back from the new ones, by table.
+    Returns the schema written, for the tables of whose touched files some rows stay.
     """
-    touched_targets = [target for target in targets if target.table in touched]
-    old = {
-        target.table: reduce(
-            DataFrame.unionAll,
-            [scan.filter(in_files(touched[target.table])) for scan in target.scans],
-        )
-        for target in touched_targets
-    }
 
-    def write(target: _Target) -> None:
-        kept = survivors(old[target.table], target.stored_key, target.cutoff)
-        kept.write.parquet(data_folder(folder, run, target.table))
+    def write(target: _Target) -> tuple[str, T.StructType] | None:
+        count = counts[target.table]
+        parts = [
+            _touched_rows(spark, target, scan, paths)
+            for scan in target.scans
+            if (paths := _partial(count.touched.get(scan.base, [])))
+        ]
+        if not parts:
+            return None
+        rows = parts[0]
+        for more in parts[1:]:
+            rows = rows.unionByName(more, allowMissingColumns=True)
+        lost = {c.lower() for scan in target.scans for c in scan.rows.columns} - {c.lower() for c in rows.columns}
+        kept = survivors(rows, target.stored_key, target.cutoff)
+        # Columns of the table that none of these files has are null in them, and stay null.
+        kept = kept.withColumns(
+            {f.name: F.lit(None).cast(f.dataType) for f in target.scans[0].rows.schema if f.name.lower() in lost}
+        )
+        tasks = math.ceil(count.kept_of_touched / ROWS_PER_FILE)
+        kept = kept.coalesce(max(tasks, spark.sparkContext.defaultParallelism))
+        writer = kept.write
+        if columns := _partition_columns(count.touched):
+            writer = writer.partitionBy(*columns)
+        writer.parquet(data_folder(folder, run, target.table))
+        return target.table, kept.schema
 
     with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), touched_targets))
-    new = {
-        table: spark.read.schema(rows.schema).parquet(data_folder(folder, run, table))
-        for table, rows in old.items()
-    }
-    return old, new
+        written = pool.map(inheritable_thread_target(spark)(write), targets)
+        return dict(found for found in written if found)
 
 
-def _check_written(counts: dict[tuple[str, str], int], removed: dict[str, int]) -> None:
-    """The new files must hold the rows of the old ones less the doomed ones; else nothing is
-    published.
+def _check_written(
+    spark: SparkSession,
+    folder: str,
+    run: str,
+    schemas: dict[str, T.StructType],
+    counts: dict[str, _Counts],
+) -> None:
+    """The new files must hold the rows of the old ones less the doomed ones, and all their columns;
+    else nothing is published.
     """
-    for table in removed:
-        written, expected = counts[table, "new"], counts[table, "old"] - removed[table]
+    if not schemas:
+        return
+    new = {table: spark.read.parquet(data_folder(folder, run, table)) for table in schemas}
+    lines = [
+        rows.agg(F.lit(table).alias("table"), F.count("*").alias("n")) for table, rows in new.items()
+    ]
+    found = {line.table: line.n for line in reduce(DataFrame.unionAll, lines).collect()}
+    for table, schema in schemas.items():
+        written, expected = found[table], counts[table].kept_of_touched
         if written != expected:
             raise RuntimeError(f"{table}: wrote {written} of {expected} rows to keep")
+        missing = {c.lower() for c in schema.names} - {c.lower() for c in new[table].columns}
+        if written and missing:
+            raise RuntimeError(f"{table}: columns {', '.join(sorted(missing))} were not written")
+
+
+def _check_unchanged(
+    spark: SparkSession, folder: str, targets: Sequence[_Target], counts: dict[str, _Counts]
+) -> None:
+    """Refuse to publish if another purge has replaced one of the touched files meanwhile."""
+    changes = read_changes(spark, folder, [target.table for target in targets])
+    for target in targets:
+        now = changes.get(target.table)
+        for base, files in counts[target.table].touched.items():
+            replaced = set(now.without.get(base, ())) if now else set()
+            if (now and base in now.gone) or any(file.path in replaced for file in files):
+                raise RuntimeError(f"another purge replaced files of {target.table!r} at the same time")
 
 
 def _publish(
@@ -220,19 +313,23 @@ def _publish(
     folder: str,
     run: str,
     targets: Sequence[_Target],
-    files: DataFrame,
-    filled: Sequence[_Target],
+    counts: dict[str, _Counts],
+    schemas: dict[str, T.StructType],
 ) -> None:
-    """Commit the purge of all tables at once; ``filled`` are those with rows in new files."""
-    locations = F.create_map(*[F.lit(text) for t in targets for text in (t.table, t.location)])
-    changes = files.select(
-        F.lit(run).alias("run"),
-        "target",
-        locations[F.col("target")].alias("delivered"),
-        F.lit("without").alias("change"),
-        "path",
-    )
-    if filled:
-        joined = [(run, t.table, t.location, "with", data_folder(folder, run, t.table)) for t in filled]
-        changes = changes.unionAll(literal_rows(spark, joined, LOG_SCHEMA))
-    append_changes(changes, folder)
+    """Commit the purge of all tables at once.
+
+    A folder of an earlier purge that lost its last file takes one line, whatever its files; files of
+    the delivered place are named, since it may get new ones.
+    """
+    lines = []
+    for target in targets:
+        count, of = counts[target.table], (run, target.table, target.location)
+        for base, files in count.touched.items():
+            if base != target.location and sum(file.rows for file in files) == count.rows_of[base]:
+                lines.append((*of, "gone", base, None, None))
+            else:
+                lines += [(*of, "without", base, file.path, None) for file in files]
+        if target.table in schemas:
+            joined = data_folder(folder, run, target.table)
+            lines.append((*of, "with", joined, joined, schemas[target.table].json()))
+    write_changes(spark.createDataFrame(lines, LOG_SCHEMA), folder, run)

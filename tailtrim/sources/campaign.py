@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -58,7 +57,7 @@ class Campaign:
             return f"{self.database}.{name}".lower()
         return f"{self.root.rstrip('/')}/{name}{self.suffix}"
 
-    def scans(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, list[DataFrame]]:
+    def scans(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, list[published.Scan]]:
         """The scans whose rows make up each table now; the purge log is read once for all."""
         changes = {}
         if self.publish_folder is not None:
@@ -68,7 +67,9 @@ class Campaign:
         delivered = {location: read(location) for location in dict.fromkeys(locations.values())}
         unchanged = published.Changes()
         return {
-            table: changes.get(table, unchanged).apply(spark, location, delivered[location])
+            table: changes.get(table, unchanged).apply(
+                spark, location, delivered[location], self.database is None
+            )
             for table, location in locations.items()
         }
 
@@ -86,7 +87,7 @@ def load_all(
     """Several tables of a campaign as of one moment, see :func:`load`."""
     loaded = {}
     for table, scans in campaign.scans(spark, tables).items():
-        rows = reduce(DataFrame.unionAll, scans)
+        rows = reduce(DataFrame.unionByName, [scan.rows for scan in scans])
         names = {kept: used for used, kept in campaign.stored_table(table).columns.items()}
         rows = rows.withColumnsRenamed(names)
         for key in keys:
@@ -96,14 +97,8 @@ def load_all(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors are one process, may fall back to a temporary
-    folder of the machine.
-    """
+    """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="tailtrim-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named.rstrip("/")

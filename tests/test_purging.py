@@ -2,6 +2,7 @@
 
 import os
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from plans import explained, files_read
@@ -9,11 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tailtrim.functions import literal_rows
-from tailtrim.operators import Cutoffs, survivors
+from tailtrim.operators import Cutoffs
 from tailtrim.plans import PurgeEntry, PurgeGroup, clean_up, purge
 from tailtrim.plans import purging
 from tailtrim.sources import Campaign, load
-from tailtrim.sources.published import in_files
 
 SESSION = "sessionid"
 
@@ -43,7 +43,7 @@ def keys(spark, campaign, table):
 
 def log_files(root):
     folder = f"{root}/purge_log"
-    return [f for f in os.listdir(folder) if f.endswith(".parquet")] if os.path.isdir(folder) else []
+    return os.listdir(folder) if os.path.isdir(folder) else []
 
 
 def files_of(root):
@@ -117,9 +117,9 @@ def test_failure_while_rewriting(spark, root, campaign, monkeypatch, atomic, pur
         write(spark, root, table, [1, 9])
     rewrite = purging._rewrite
 
-    def failing(spark, folder, run, targets, touched):
-        written = rewrite(spark, folder, run, targets, touched)
-        if "b" in touched:
+    def failing(spark, folder, run, targets, counts):
+        written = rewrite(spark, folder, run, targets, counts)
+        if "b" in [target.table for target in targets]:
             raise RuntimeError("disk lost")
         return written
 
@@ -164,7 +164,7 @@ def test_only_files_around_the_cutoff_are_rewritten(spark, root, campaign):
     written = [f for f in after if "/purge_data/" in f]
     assert sum(spark.read.parquet(f).count() for f in written) < 200
     assert keys(spark, campaign, "a") == Counter(range(750))
-    live = set().union(*map(files_read, campaign.scans(spark, ["a"])["a"]))
+    live = set().union(*(files_read(scan.rows) for scan in campaign.scans(spark, ["a"])["a"]))
     assert len([f for f in live if "/a.parquet/" in f]) in (7, 8)
     assert len(live) <= 9
 
@@ -172,7 +172,7 @@ def test_only_files_around_the_cutoff_are_rewritten(spark, root, campaign):
 def test_files_that_left_the_table_are_not_opened(spark, root, campaign):
     write(spark, root, "a", range(1000), files=10)
     purge(spark, campaign, group("a"), Cutoffs(300))
-    gone = {r.path for r in spark.read.parquet(f"{root}/purge_log").filter("change = 'without'").collect()}
+    gone = {r.path for r in spark.read.parquet(f"{root}/purge_log/*").filter("change = 'without'").collect()}
     assert len(gone) >= 7
     # With every one of them made unreadable, the table can still be read.
     for path in gone:
@@ -190,22 +190,82 @@ def test_counting_reads_the_key_column_only(spark, root, campaign):
     target = purging._Target(
         PurgeEntry("a", SESSION), 50.0, campaign.location("a"), SESSION, campaign.scans(spark, ["a"])["a"]
     )
-    plan = explained(purging._doomed_per_file([target]))
+    plan = explained(purging._rows_per_file([target]))
     assert "ReadSchema: struct<sessionid:bigint>" in plan
     assert "GreaterThanOrEqual(sessionid,50)" in plan
+    assert "note" not in plan
     assert plan.count("Exchange\n") == 1
 
 
-def test_files_that_lose_every_row_are_only_opened(spark, root, campaign):
-    """The keep filter reaches the scan, where row groups of doomed rows are skipped."""
+def test_files_that_lose_every_row_are_not_rewritten(spark, root, campaign, monkeypatch):
     write(spark, root, "a", range(1000), files=10)
-    (scan,) = campaign.scans(spark, ["a"])["a"]
-    doomed_files = files_read(scan.filter(f"{SESSION} >= 500"))
-    rows = survivors(scan.filter(in_files(doomed_files)), SESSION, 500)
-    plan = explained(rows)
-    assert f"Or(LessThan({SESSION},500),IsNull({SESSION}))" in plan
-    assert "Exchange" not in plan
-    assert rows.count() < 100
+    read = []
+    touched_rows = purging._touched_rows
+
+    def noted(spark, target, scan, paths):
+        read.extend(paths)
+        return touched_rows(spark, target, scan, paths)
+
+    monkeypatch.setattr(purging, "_touched_rows", noted)
+    purge(spark, campaign, group("a"), Cutoffs(350))
+    assert len(read) == 1
+    assert keys(spark, campaign, "a") == Counter(range(350))
+
+
+def wide_and_narrow(spark, root, wide_first, kind="bigint"):
+    """Two appended files, one with a further column; Spark takes the schema of the first by name."""
+    for number, wide in enumerate([wide_first, not wide_first]):
+        rows = spark.range(10 * number, 10 * number + 10, 1, 1).toDF(SESSION)
+        rows = rows.withColumn("a", F.col(SESSION).cast(kind if wide else "bigint"))
+        if wide:
+            rows = rows.withColumn("b", F.col(SESSION) * 2)
+        rows.write.parquet(f"{root}/one{number}")
+        (name,) = [f for f in os.listdir(f"{root}/one{number}") if f.endswith(".parquet")]
+        os.makedirs(f"{root}/a.parquet", exist_ok=True)
+        with open(f"{root}/one{number}/{name}", "rb") as file, open(f"{root}/a.parquet/{number}.parquet", "wb") as to:
+            to.write(file.read())
+
+
+@pytest.mark.parametrize("wide_first", [True, False])
+def test_no_column_is_lost(spark, root, campaign, wide_first):
+    wide_and_narrow(spark, root, wide_first)
+    wide = range(0, 10) if wide_first else range(10, 20)
+    for cutoff in (15, 5, 3):
+        purge(spark, campaign, group("a"), Cutoffs(cutoff))
+        left = {r[SESSION]: r.asDict().get("b") for r in load(spark, campaign, "a").collect()}
+        if "b" in load(spark, campaign, "a").columns:
+            assert left == {k: 2 * k if k in wide else None for k in range(cutoff)}
+        else:
+            assert set(left) == set(range(cutoff)) and not set(left) & set(wide)
+
+
+def test_types_that_cannot_be_merged_are_refused(spark, root, campaign):
+    wide_and_narrow(spark, root, True, kind="string")
+    with pytest.raises(Exception, match="(?i)merge"):
+        purge(spark, campaign, group("a"), Cutoffs(5), atomic=True) and purge(spark, campaign, group("a"), Cutoffs(15))
+        purging._touched_rows(
+            spark, purging._targets(spark, campaign, group("a").active, Cutoffs(5))[0],
+            purging.Scan(f"{root}/a.parquet", None), [f"{root}/a.parquet/0.parquet", f"{root}/a.parquet/1.parquet"],
+        )
+
+
+def test_purges_of_different_tables_at_the_same_time(spark, root, campaign):
+    for table in "abcd":
+        write(spark, root, table, range(20), files=2)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda t: purge(spark, campaign, group(t), Cutoffs(7)), "abcd"))
+    for table in "abcd":
+        assert keys(spark, campaign, table) == Counter(range(7))
+
+
+def test_a_replaced_folder_takes_one_line(spark, root, campaign):
+    write(spark, root, "a", range(100), files=1)
+    purge(spark, campaign, group("a"), Cutoffs(60))
+    purge(spark, campaign, group("a"), Cutoffs(30))
+    changes = [r.change for r in spark.read.parquet(f"{root}/purge_log/*").collect()]
+    assert Counter(changes) == Counter({"without": 1, "with": 2, "gone": 1})
+    assert len(campaign.scans(spark, ["a"])["a"]) == 2
+    assert keys(spark, campaign, "a") == Counter(range(30))
 
 
 def test_repeated_and_lower_purges(spark, root, campaign):
@@ -262,6 +322,8 @@ def test_partitioned_table(spark, root, campaign):
     assert Counter((r[0], r[1]) for r in load(spark, campaign, "a").collect()) == expected
     purge(spark, campaign, group("a"), Cutoffs(39))
     assert load(spark, campaign, "a").count() == 39
+    for scan in campaign.scans(spark, ["a"])["a"]:
+        assert "day" in explained(scan.rows.filter("day = 'd1'")).split("PartitionFilters")[1].split("\n")[0]
 
 
 @pytest.mark.parametrize("folder", ["a b", "50%25 o'clock", "é=1", "x+y"])
