@@ -25,6 +25,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,7 @@ BLOCK = 64
 
 # Features of a word: what it says for toxicity, in steps, and how it is written.
 EVIDENCE_STEPS = 8
+FORMS = 4
 _WORD = re.compile(WORD)
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -104,17 +106,15 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]],
     return sorted((r.text, r.toxic) for r in rows), prior
 
 
-def _families(word_sets: list[set[str]]) -> list[int]:
+def _families(word_sets: list[np.ndarray]) -> list[int]:
     """A number for each document; near copies, which agree in several minimal hashes, share one."""
     family: list[int] = []
     known: dict[tuple[int, int], int] = {}
     for number, words in enumerate(word_sets):
-        if not words:
+        if not len(words):
             family.append(number)
             continue
-        # Python's own hash of text differs between processes.
-        hashes = np.array([int.from_bytes(w.encode()[:24], "little") % (2**61 - 1) for w in words], np.uint64)
-        keys = [(k, int(mixed(hashes + np.uint64(k * 7919 + 1)).min())) for k in range(12)]
+        keys = [(k, int(mixed(words + np.uint64(k * 7919 + 1)).min())) for k in range(12)]
         votes = Counter(known[key] for key in keys if key in known)
         same = next((f for f, n in votes.most_common(1) if n >= 5), number)
         family.append(same)
@@ -123,30 +123,52 @@ def _families(word_sets: list[set[str]]) -> list[int]:
     return family
 
 
+def _hashed(texts: set[str] | list[str]) -> np.ndarray:
+    """One number for each text, the same in every process."""
+    found = [int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little") for text in texts]
+    return np.array(found, np.uint64)
+
+
 def _evidence(sample: list[tuple[str, int]]) -> tuple[dict[str, float], set[str]]:
-    """Log odds, of toxic against clean families, of words and beginnings; the telling ones."""
+    """Log odds, of toxic against clean families, of words and beginnings; the telling ones.
+
+    Words are counted as hashes, which keeps this small; those that matter are then named again.
+    """
     word_sets = [{plain(w) for w in _WORD.findall(text)} - {""} for text, _ in sample]
-    family = _families(word_sets)
-    seen: list[dict[str, set[int]]] = [defaultdict(set), defaultdict(set)]
-    sizes = [set(), set()]
+    family = _families([_hashed(words) for words in word_sets])
+    of_families: list[dict[int, list[np.ndarray]]] = [defaultdict(list), defaultdict(list)]
     for words, own, (_, toxic) in zip(word_sets, family, sample):
-        sizes[toxic].add(own)
-        for unit in {unit for word in words for unit in units(word)}:
-            seen[toxic][unit].add(own)
-    totals = [max(len(s), 1) for s in sizes]
+        of_families[toxic][own].append(_hashed({unit for word in words for unit in units(word)}))
+    totals = [max(len(f), 1) for f in of_families]
+    counted = []
+    for families in of_families:
+        once = [np.unique(np.concatenate(found)) for found in families.values()]
+        counted.append(np.unique(np.concatenate(once or [np.zeros(0, np.uint64)]), return_counts=True))
+    (clean_units, clean_counts), (found_units, toxic_counts) = counted
+    place = np.minimum(np.searchsorted(clean_units, found_units), max(len(clean_units) - 1, 0))
+    clean = np.zeros(len(found_units), np.int64)
+    if len(clean_units):
+        clean = np.where(clean_units[place] == found_units, clean_counts[place], 0)
     share = totals[1] / sum(totals)
-    enough = np.log(len(seen[0].keys() | seen[1].keys()) + 1) + ABOVE_CHANCE
+    enough = np.log(len(found_units) + len(clean_units) + 1) + ABOVE_CHANCE
+    value = np.log((toxic_counts + 0.1) / totals[1]) - np.log((clean + 0.1) / totals[0])
+    together = toxic_counts + clean
+    ratio = toxic_counts * np.log(toxic_counts / (together * share))
+    ratio += np.where(clean > 0, clean * np.log(np.maximum(clean, 1) / (together * (1 - share))), 0)
+    use = (toxic_counts >= 2) & (value > 0)
+    is_telling = use & (value >= LEAST_EVIDENCE) & (ratio >= enough)
+    # Units that are neither telling nor rather frequent in toxic texts say next to nothing.
+    use &= is_telling | (ratio >= ABOVE_CHANCE)
+    by_hash = dict(zip(found_units[use].tolist(), zip(value[use].tolist(), is_telling[use].tolist())))
     odds, telling = {}, set()
-    for word, families in seen[1].items():
-        toxic, clean = len(families), len(seen[0].get(word, ()))
-        value = float(np.log((toxic + 0.1) / totals[1]) - np.log((clean + 0.1) / totals[0]))
-        if toxic < 2 or value <= 0:
-            continue
-        odds[word] = value
-        expected = (toxic + clean) * np.array([1 - share, share])
-        ratio = toxic * np.log(toxic / expected[1]) + (clean * np.log(clean / expected[0]) if clean else 0)
-        if value >= LEAST_EVIDENCE and ratio >= enough:
-            telling.add(word)
+    for words, (_, toxic) in zip(word_sets, sample):
+        if toxic:
+            named = list({unit for word in words for unit in units(word)})
+            for unit, key in zip(named, _hashed(named).tolist()):
+                if key in by_hash:
+                    odds[unit], tells = by_hash[key]
+                    if tells:
+                        telling.add(unit)
     return odds, telling
 
 
@@ -202,22 +224,26 @@ def _windows(sample: list, evidence: dict[str, int], telling: set[str]) -> tuple
 
 def _train_chain(windows: np.ndarray, tags: np.ndarray):
     """Weights of the chain by gradient ascent on the likelihood of the tags, with Adam."""
-    kinds = EVIDENCE_STEPS + 4
+    kinds = EVIDENCE_STEPS + FORMS
     count, width, _ = windows.shape
     is_word = tags >= 0
-    # [stretch, word, kind]: what the word, the one before and the one after are like.
-    own = np.zeros((count, width, kinds))
-    np.put_along_axis(own, windows, 1.0, axis=2)
-    own *= is_word[:, :, None]
-    before = np.concatenate([np.zeros((count, 1, kinds)), own[:, :-1]], axis=1)
-    after = np.concatenate([own[:, 1:], np.zeros((count, 1, kinds))], axis=1)
-    inputs = np.concatenate([own, before, after], axis=2).reshape(count * width, 3 * kinds)
-    shapes = np.unique(inputs, axis=0, return_inverse=True)
-    distinct, which = shapes[0], shapes[1].reshape(count, width)
+    # What a word is like, as one number, and what the one before and the one after are like.
+    none = EVIDENCE_STEPS * FORMS
+    own = np.where(is_word, windows[:, :, 0] * FORMS + windows[:, :, 1] - EVIDENCE_STEPS, none)
+    edge = np.full((count, 1), none)
+    before, after = np.hstack([edge, own[:, :-1]]), np.hstack([own[:, 1:], edge])
+    codes, which = np.unique((own * (none + 1) + before) * (none + 1) + after, return_inverse=True)
+    which = which.reshape(count, width)
+    distinct = np.zeros((len(codes), 3 * kinds))
+    rows = np.arange(len(codes))
+    for part, divisor in enumerate([(none + 1) ** 2, none + 1, 1]):
+        like = codes // divisor % (none + 1)
+        is_like = rows[like < none]
+        distinct[is_like, part * kinds + like[is_like] // FORMS] = 1.0
+        distinct[is_like, part * kinds + EVIDENCE_STEPS + like[is_like] % FORMS] = 1.0
     weights = np.zeros(3 * kinds)
     transitions = np.zeros((2, 2))
     both = is_word[:, 1:] & is_word[:, :-1]
-    # Toxic words are few; weighing them up keeps the chain from ignoring them.
     moments = [np.zeros(3 * kinds + 4), np.zeros(3 * kinds + 4)]
     seen_pairs = np.zeros((2, 2))
     for a in (0, 1):
