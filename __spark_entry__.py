@@ -132,11 +132,69 @@ def cutoff_from_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lowest_ids(find_sessions(spark, stand_in_campaign(sf_dir), PATTERN, ordered=False))
 
 
+def join_filelist_sessions_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join without broadcast, with so few rows to a share that most file ids are split."""
+    tables = load_all(spark, stand_in_campaign(sf_dir), ["filelist", "sessions"], keys=["fileid"])
+    return join_sessions(tables["filelist"], tables["sessions"], broadcast_bytes=0, rows_per_share=4)
+
+
+def lookup_sessions_files_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_sessions(
+        spark, stand_in_campaign(sf_dir), PATTERN, broadcast_bytes=0, rows_per_share=4
+    )
+
+
+def lookup_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered lookup with a pattern that every name matches, here in the other case."""
+    return find_sessions(spark, stand_in_campaign(sf_dir), "%CUSTOMER%", ignore_case=True)
+
+
+def filter_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filelist = load(spark, stand_in_campaign(sf_dir), "filelist", keys=["fileid"])
+    found = match_collections(filelist, "%CUSTOMER%0014%", ignore_case=True)
+    return found.select("fileid", "collectionname")
+
+
+def compared(spark: SparkSession, sf_dir: str, campaign: Campaign, group: PurgeGroup) -> DataFrame:
+    """Counts of each table of a group before and after a purge, and what its keys add up to."""
+    tables = [entry.table for entry in group.active]
+    before = load_all(spark, stand_in_campaign(sf_dir), tables)
+    after = load_all(spark, campaign, tables)
+    counted = [
+        rows.select(
+            F.lit(table).alias("target"),
+            F.lit(b).alias("before"),
+            F.lit(a).alias("kept"),
+            (F.col(STAND_INS[table][1]) * a).cast("bigint").alias("key_sum"),
+        )
+        for table in tables
+        for rows, b, a in ((before[table], 1, 0), (after[table], 0, 1))
+    ]
+    return (
+        reduce(DataFrame.unionAll, counted)
+        .groupBy("target")
+        .agg(*[F.sum(c).alias(c) for c in ("before", "kept", "key_sum")])
+        .select("target", (F.col("before") - F.col("kept")).alias("removed"), "kept", "key_sum")
+    )
+
+
 def cleanup_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Look one customer up, purge the voice group from there on, read one table back whole."""
+    """Look one customer up, purge the voice group from there on, compare all its tables."""
     campaign = new_campaign(spark, sf_dir)
     clean_up(spark, campaign, ONE_CUSTOMER, [VOICE])
-    return load(spark, campaign, "lcc_position").withColumnRenamed("sessionid", "l_orderkey")
+    return compared(spark, sf_dir, campaign, VOICE)
+
+
+def cleanup_given_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean-up with cutoffs chosen by hand, which win over what the lookup finds."""
+    campaign = new_campaign(spark, sf_dir)
+    clean_up(spark, campaign, ONE_CUSTOMER, [VOICE], cutoffs=CUTOFFS)
+    return compared(spark, sf_dir, campaign, VOICE)
+
+
+def purge_report_voice_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a purge that takes place."""
+    return purge(spark, new_campaign(spark, sf_dir), VOICE, CUTOFFS)
 
 
 def purge_group(group: PurgeGroup) -> Callable[[SparkSession, str], DataFrame]:
@@ -144,20 +202,7 @@ def purge_group(group: PurgeGroup) -> Callable[[SparkSession, str], DataFrame]:
         """Publish the purged group, then count each published table against the delivered one."""
         campaign = new_campaign(spark, sf_dir)
         purge(spark, campaign, group, CUTOFFS)
-        tables = [entry.table for entry in group.active]
-        before = load_all(spark, stand_in_campaign(sf_dir), tables)
-        after = load_all(spark, campaign, tables)
-        counted = [
-            rows.select(F.lit(table).alias("target"), F.lit(b).alias("before"), F.lit(a).alias("kept"))
-            for table in tables
-            for rows, b, a in ((before[table], 1, 0), (after[table], 0, 1))
-        ]
-        return (
-            reduce(DataFrame.unionAll, counted)
-            .groupBy("target")
-            .agg(F.sum("before").alias("before"), F.sum("kept").alias("kept"))
-            .select("target", (F.col("before") - F.col("kept")).alias("removed"), "kept")
-        )
+        return compared(spark, sf_dir, campaign, group).drop("key_sum")
 
     return published_counts
 
@@ -195,6 +240,10 @@ def clean_up_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_filelist_sessions": join_filelist_sessions,
         "lookup_sessions_files": lookup_sessions_files,
         "lookup_sessions": lookup_sessions,
+        "join_filelist_sessions_shuffled": join_filelist_sessions_shuffled,
+        "lookup_sessions_files_shuffled": lookup_sessions_files_shuffled,
+        "lookup_wide": lookup_wide,
+        "filter_ignoring_case": filter_ignoring_case,
         "full_read": full_read,
         "doomed_by_session": doomed_by_session,
         "doomed_by_file": doomed_by_file,
@@ -202,6 +251,8 @@ def clean_up_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "purge_by_file": purge_by_file,
         "cutoff_from_lookup": cutoff_from_lookup,
         "cleanup_end_to_end": cleanup_end_to_end,
+        "cleanup_given_cutoffs": cleanup_given_cutoffs,
+        "purge_report_voice_published": purge_report_voice_published,
         "purge_group_voice": purge_group(VOICE),
         "purge_group_scanner": purge_group(SCANNER),
         "purge_group_data": purge_group(DATA),
@@ -215,19 +266,26 @@ def clean_up_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def _counts_sql(group: PurgeGroup, with_cutoff: bool = False) -> str:
+def _counts_sql(
+    group: PurgeGroup,
+    with_cutoff: bool = False,
+    with_sum: bool = False,
+    cutoffs: dict[str, str] | None = None,
+) -> str:
     lines = []
     for item in group.active:
         name, key, column = STAND_INS[item.table]
-        cutoff = CUTOFFS.of(key)
+        cutoff = cutoffs[key] if cutoffs else CUTOFFS.of(key)
+        kept = f"NOT coalesce({column} >= {cutoff}, false)"
         what = f"'{item.table}' AS target, "
         if with_cutoff:
             what += f"'{key}' AS key, CAST({cutoff} AS DOUBLE) AS cutoff, "
         lines.append(
             f"SELECT {what}"
             f"count(*) FILTER (WHERE {column} >= {cutoff}) AS removed, "
-            f"count(*) FILTER (WHERE NOT coalesce({column} >= {cutoff}, false)) AS kept "
-            f"FROM {name}"
+            f"count(*) FILTER (WHERE {kept}) AS kept"
+            + (f", CAST(coalesce(sum({column}) FILTER (WHERE {kept}), 0) AS BIGINT) AS key_sum" if with_sum else "")
+            + f" FROM {name}"
         )
     return "\nUNION ALL ".join(lines)
 
@@ -263,6 +321,19 @@ def clean_up_sql() -> dict[str, str]:
         "lookup_sessions": f"""
             SELECT s.o_orderkey AS sessionid, f.c_name AS collectionname
             {matched} ORDER BY sessionid ASC NULLS FIRST""",
+        "join_filelist_sessions_shuffled": """
+            SELECT f.c_custkey AS fileid, s.o_orderkey AS sessionid, f.c_name AS collectionname
+            FROM customer f, orders s WHERE f.c_custkey = s.o_custkey""",
+        "lookup_sessions_files_shuffled": f"""
+            SELECT f.c_custkey AS fileid, s.o_orderkey AS sessionid, f.c_name AS collectionname
+            {matched} ORDER BY sessionid ASC NULLS FIRST, fileid ASC NULLS FIRST""",
+        "lookup_wide": """
+            SELECT f.c_custkey AS fileid, s.o_orderkey AS sessionid, f.c_name AS collectionname
+            FROM customer f, orders s WHERE f.c_name ILIKE '%CUSTOMER%' AND f.c_custkey = s.o_custkey
+            ORDER BY sessionid ASC NULLS FIRST, fileid ASC NULLS FIRST""",
+        "filter_ignoring_case": """
+            SELECT c_custkey AS fileid, c_name AS collectionname
+            FROM customer WHERE c_name ILIKE '%CUSTOMER%0014%'""",
         "full_read": "SELECT * FROM customer",
         "doomed_by_session": "SELECT * FROM lineitem WHERE l_orderkey >= CAST(700 AS DOUBLE)",
         "doomed_by_file": "SELECT * FROM orders WHERE o_custkey >= CAST(70 AS DOUBLE)",
@@ -270,9 +341,16 @@ def clean_up_sql() -> dict[str, str]:
         "purge_by_file": kept_files,
         "cutoff_from_lookup": f"""
             SELECT min(s.o_orderkey) AS min_session, min(f.c_custkey) AS min_file {matched}""",
-        "cleanup_end_to_end": f"""
-            SELECT * FROM lineitem
-            WHERE NOT coalesce(l_orderkey >= (SELECT min(s.o_orderkey) {one_customer}), false)""",
+        "cleanup_end_to_end": _counts_sql(
+            VOICE,
+            with_sum=True,
+            cutoffs={
+                "sessionid": f"(SELECT min(s.o_orderkey) {one_customer})",
+                "fileid": f"(SELECT min(f.c_custkey) {one_customer})",
+            },
+        ),
+        "cleanup_given_cutoffs": _counts_sql(VOICE, with_sum=True),
+        "purge_report_voice_published": _counts_sql(VOICE, with_cutoff=True),
         "purge_group_voice": _counts_sql(VOICE),
         "purge_group_scanner": _counts_sql(SCANNER),
         "purge_group_data": _counts_sql(DATA),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import ROUND_FLOOR, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 # Every whole number below this is a double without rounding.
 EXACT_IN_DOUBLE = 2**53
 
+# Decimals of so many digits keep their order as doubles.
+EXACT_DIGITS = 15
+
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -32,16 +36,34 @@ def _bound(df: DataFrame, key: str, cutoff: float) -> Column:
     Cutoffs are doubles. Comparing a whole-number key with a double casts the key of every row and
     pushes nothing to the scan. ``key >= c`` and ``key >= ceil(c)`` hold for the same whole numbers as
     long as no value rounds, so below 2^53 the cutoff becomes a bigint. Beyond that the double
-    comparison, with its rounding, is kept.
+    comparison, with its rounding, is kept. Likewise a decimal of up to 15 digits is a double without
+    loss of its digits, and the cutoff becomes the lowest decimal of the key's scale that is not below.
     """
     value = float(cutoff)
     if not math.isfinite(value):
         raise ValueError(f"cutoff for {key!r} must be a finite number, got {cutoff!r}")
-    if isinstance(key_type(df, key), _WHOLE_NUMBERS) and abs(value) < EXACT_IN_DOUBLE:
+    kind = key_type(df, key)
+    if isinstance(kind, _WHOLE_NUMBERS) and abs(value) < EXACT_IN_DOUBLE:
         return F.lit(math.ceil(value)).cast("bigint")
+    if isinstance(kind, T.DecimalType) and kind.precision <= EXACT_DIGITS and _fits(value, kind):
+        return F.lit(_lowest_decimal(value, kind)).cast(kind)
     return F.lit(value)
 
 
+def _fits(cutoff: float, kind: T.DecimalType) -> bool:
+    """Whether the decimals around a cutoff are of the key's type; else its double is compared."""
+    return abs(cutoff) < 10 ** (kind.precision - kind.scale) - 1
+
+
+def _lowest_decimal(cutoff: float, kind: T.DecimalType) -> Decimal:
+    """The lowest decimal of a type's scale whose double is at least the cutoff."""
+    step = Decimal(1).scaleb(-kind.scale)
+    near = Decimal(cutoff).quantize(step, ROUND_FLOOR) - step
+    while float(near) < cutoff:
+        near += step
+    return near
+
+
 def at_or_above(df: DataFrame, key: str, cutoff: float) -> Column:
     """True for the rows a purge removes. A missing key is never at or above anything."""
     return F.col(key) >= _bound(df, key, cutoff)

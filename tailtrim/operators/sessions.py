@@ -45,7 +45,8 @@ def join_sessions(
     """``fileid, sessionid, collectionname`` of every pair of file and session with equal file id.
 
     Repeated rows on either side multiply, a missing file id matches nothing. The size of the file
-    list is measured when the join is built, with one aggregate over it.
+    list is measured when the join is built, with one aggregate over it; ``broadcast_bytes=0`` leaves
+    that out and always shuffles.
     """
     return _join(filelist, sessions, broadcast_bytes, rows_per_share).select(
         "fileid", "sessionid", "collectionname"
@@ -59,15 +60,18 @@ def lookup(
     with_files: bool = True,
     ignore_case: bool = False,
     ordered: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_share: int = ROWS_PER_SHARE,
 ) -> DataFrame:
     """Sessions of the matching collections in ascending order, with or without their file ids.
 
     The order continues over the file id, the name and the input split the session came from, so
     that many rows of one session, even exact copies, spread over several sort tasks. Without an
-    order the sort is left out, as for :func:`cutoffs_from_lookup`.
+    order the sort is left out, as for :func:`cutoffs_from_lookup`. Building it runs the aggregate of
+    :func:`join_sessions` over the file list; with ``broadcast_bytes=0`` it is left out too.
     """
     matched = match_collections(filelist, pattern, ignore_case)
-    found = _join(matched, sessions, BROADCAST_BYTES, ROWS_PER_SHARE)
+    found = _join(matched, sessions, broadcast_bytes, rows_per_share)
     if ordered:
         # A global sort samples its input before it shuffles it. Sampling the output of this
         # exchange keeps the sessions from being read and joined twice.
@@ -108,15 +112,17 @@ def _join(
         .filter(F.col("fileid").isNotNull())
         .withColumn("_split", F.spark_partition_id())
     )
-    if _measured_bytes(files) <= broadcast_bytes:
+    if broadcast_bytes > 0 and _measured_bytes(files) <= broadcast_bytes:
         # The sessions are then read once, where they are, and never shuffled for the join.
         return F.broadcast(files).join(rows, "fileid")
     files = files.withColumn("_split", F.spark_partition_id())
     hot = _shares(files, "_file_shares", rows_per_share).join(
         _shares(rows, "_session_shares", rows_per_share), "fileid", "full"
     )
-    # A side has fewer hot ids than (its rows / rows_per_share), so this stays small at any size.
-    hot = F.broadcast(hot)
+    # A side has fewer hot ids than (its rows / rows_per_share). At the default this stays small at any
+    # size; at a smaller setting Spark decides by size how to join it.
+    if rows_per_share >= ROWS_PER_SHARE:
+        hot = F.broadcast(hot)
     files = _split_hot(files, hot, "collectionname", "_file", "_session").drop("_split")
     rows = _split_hot(rows, hot, "sessionid", "_session", "_file")
     return files.join(rows, ["fileid", "_file_share", "_session_share"])

@@ -9,7 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from tailtrim.functions.predicates import key_type
-from tailtrim.operators.sessions import Cutoffs, cutoffs_from_lookup, lookup
+from tailtrim.operators.sessions import (
+    BROADCAST_BYTES,
+    ROWS_PER_SHARE,
+    Cutoffs,
+    cutoffs_from_lookup,
+    lookup,
+)
 from tailtrim.plans.groups import PurgeGroup
 from tailtrim.plans.purging import purge
 from tailtrim.sources.campaign import Campaign, load_all
@@ -41,12 +47,21 @@ def find_sessions(
     with_files: bool = True,
     ignore_case: bool = False,
     ordered: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_share: int = ROWS_PER_SHARE,
 ) -> DataFrame:
     """The lookup on a campaign's own file list and sessions."""
     tables = load_all(spark, campaign, ["filelist", "sessions"], keys=["fileid"])
     key_type(tables["sessions"], "sessionid")
     return lookup(
-        tables["filelist"], tables["sessions"], pattern, with_files, ignore_case, ordered
+        tables["filelist"],
+        tables["sessions"],
+        pattern,
+        with_files,
+        ignore_case,
+        ordered,
+        broadcast_bytes,
+        rows_per_share,
     )
 
 
@@ -58,6 +73,7 @@ def clean_up(
     cutoffs: Cutoffs | None = None,
     ignore_case: bool = False,
     dry_run: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Purge groups of a campaign from the first session and file of a collection on.
 
@@ -66,7 +82,14 @@ def clean_up(
     """
     if cutoffs is None:
         cutoffs = cutoffs_from_lookup(
-            find_sessions(spark, campaign, pattern, ignore_case=ignore_case, ordered=False)
+            find_sessions(
+                spark,
+                campaign,
+                pattern,
+                ignore_case=ignore_case,
+                ordered=False,
+                broadcast_bytes=broadcast_bytes,
+            )
         )
     reports = [purge(spark, campaign, group, cutoffs, dry_run=dry_run) for group in groups]
     return reduce(DataFrame.unionAll, reports)

@@ -214,16 +214,16 @@ def _touched_rows(spark: SparkSession, target: _Target, scan: Scan, paths: list[
     """
     if target.in_catalog and scan.base == target.location:
         return scan.rows.filter(in_files(paths))
-    reader = spark.read.option("mergeSchema", "true").option("basePath", scan.base)
+    reader = spark.read.option("mergeSchema", "true")
+    if _partition_columns(scan.base, paths):
+        reader = reader.option("basePath", scan.base)
     return reader.parquet(*[unquote(path) for path in paths])
 
 
-def _partition_columns(bases: dict[str, list]) -> list[str]:
+def _partition_columns(base: str, paths: Sequence[str]) -> list[str]:
     """Names of the partition folders between a place and its files, as ``name=value`` gives them."""
-    for base, files in bases.items():
-        inner = unquote(files[0].path).rpartition(base.rstrip("/").rpartition("/")[2])[2]
-        return [unquote(part.partition("=")[0]) for part in inner.split("/")[:-1] if "=" in part]
-    return []
+    inner = unquote(paths[0]).rpartition(base.rstrip("/").rpartition("/")[2])[2]
+    return [unquote(part.partition("=")[0]) for part in inner.split("/")[:-1] if "=" in part]
 
 
 def _rewrite(
@@ -259,7 +259,8 @@ def _rewrite(
         tasks = math.ceil(count.kept_of_touched / ROWS_PER_FILE)
         kept = kept.coalesce(max(tasks, spark.sparkContext.defaultParallelism))
         writer = kept.write
-        if columns := _partition_columns(count.touched):
+        base, files = next(iter(count.touched.items()))
+        if columns := _partition_columns(base, [file.path for file in files]):
             writer = writer.partitionBy(*columns)
         writer.parquet(data_folder(folder, run, target.table))
         return target.table, kept.schema

@@ -32,13 +32,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
-# The purges are slow to repeat; they run at the larger scale, everything else at both.
-CASES = [
-    (scale, name)
-    for scale in SCALES
-    for name in sorted(QUERIES)
-    if scale == SCALES[-1] or not name.startswith(("purge_group", "published", "cleanup"))
-]
+CASES = [(scale, name) for scale in SCALES for name in sorted(QUERIES)]
 
 
 @pytest.mark.parametrize("scale,name", CASES)

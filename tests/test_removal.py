@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from plans import explained
+from pyspark.sql import functions as F
 
 from tailtrim.operators import doomed, survivors
 
@@ -125,3 +126,16 @@ def test_int_key_reaches_the_scan_too(spark):
 def test_only_the_columns_asked_for_are_read(spark):
     plan = explained(survivors(spark.read.parquet(LINEITEM), "l_orderkey", 7).select("l_tax"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_tax:double>" in plan
+
+
+@pytest.mark.parametrize("kind", ["decimal(15,0)", "decimal(12,2)"])
+def test_decimal_keys_are_pushed_and_exact(spark, tmp_path, kind):
+    path = str(tmp_path / "t")
+    spark.range(0, 2000).select((F.col("id") / 8).cast(kind).alias("k")).write.parquet(path)
+    table = spark.read.parquet(path)
+    for cutoff in (10.0, 10.1, 10.12, 10.125, 10.13, 0.1 + 0.2, -3.0, 1e9):
+        expected = table.filter(F.col("k").cast("double") >= F.lit(cutoff)).count()
+        assert doomed(table, "k", cutoff).count() == expected
+        assert survivors(table, "k", cutoff).count() == 2000 - expected
+    assert "GreaterThanOrEqual(k," in explained(doomed(table, "k", 10.1))
+    assert "LessThan(k," in explained(survivors(table, "k", 10.1))
