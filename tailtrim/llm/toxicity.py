@@ -454,7 +454,7 @@ def score(docs: DataFrame, model: ToxicityModel | float) -> DataFrame:
                         own = chances[ends[i] - counts[i] : ends[i]]
                         spans[i] = _spans(texts[int(i)].as_py(), own)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), pa.array(scores), pa.array(expected), pa.array(spans, pa.list_(span))],
+                    [batch.column("row"), pa.array(scores, pa.float64()), pa.array(expected.astype(float)), pa.array(spans, pa.list_(span))],
                     ["row", "score", "expected_words", "spans"],
                 )
 
