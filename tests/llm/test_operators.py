@@ -308,7 +308,11 @@ def test_toxicity(spark, docs, no_docs):
     draw = random.Random(4)
     rows, labels = [], []
     for i in range(300):
-        words = [f"{draw.choice('bcdfg')}a{draw.randrange(400)}" for _ in range(60)]
+        words = ["".join(draw.choice("bcdfgaeiou") for _ in range(draw.randint(2, 5))) for _ in range(60)]
+        words[50] += "7"
+        # Capitals and marks are common in clean words, too.
+        words[20:24] = [w.upper() for w in words[20:24]]
+        words[40] += "."
         toxic = i % 4 == 0
         if toxic:
             words[10] = words[30] = draw.choice(["Vile,", "VILE", "awful."])
