@@ -2,9 +2,13 @@
 
 Lines are parsed at fixed depth: by their number of tokens, then by their leading tokens. Tokens with a
 digit are variable and become ``<*>`` before. The lines of a leaf share a template if they agree with
-the leaf's most widespread line in enough places; where they differ, the template is variable too. A
-line that does not is a template of its own. A template that occurs in several documents is
-boilerplate: its lines are dropped from all of them. Everything is built of DataFrame functions.
+the leaf's most widespread line, its hub, in enough places; where they differ, the template is variable
+too. Of the lines that do not, the most widespread one is the next hub, until every line has a
+template. A template that occurs in several documents is boilerplate: its lines are dropped from all
+of them. Everything is built of DataFrame functions.
+
+There is a round for each hub of the leaf with the most of them. Lines that cannot be alike to another
+one left leave before: two lines that differ in at most d places are equal in one of d + 1 runs of places.
 
 Only hashes of lines are shuffled, but for the lines of leaves that hold several different lines and
 occur in several documents, whose tokens are compared, and for the texts, once, to drop lines from them.
@@ -17,6 +21,8 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +52,40 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
     return tokens.withColumn("leaf", leaf).withColumn("body", F.xxhash64(F.array_join("tokens", " ")))
 
 
+def _with_partner(texts: DataFrame, similar: float) -> DataFrame:
+    """The lines that equal another one of their leaf in a run of places, as all alike ones do."""
+    size = F.size("tokens")
+    # As many runs as places in which alike lines may differ, and one; of no line more than places.
+    runs = F.least(size, size - F.ceil(F.lit(similar) * size - F.lit(1e-6)) + 1).cast("int")
+
+    def piece(run: Column) -> Column:
+        first, last = (F.floor(r * size / runs).cast("int") for r in (run, run + 1))
+        return F.xxhash64(F.array_join(F.slice("tokens", first + 1, last - first), " "))
+
+    pieces = F.transform(F.sequence(F.lit(0), runs - 1), piece)
+    cut = texts.select(*_LINE, pieces.alias("pieces")).select(*_LINE, F.posexplode("pieces").alias("run", "piece"))
+    key = ["leaf", "run", "piece"]
+    shared = cut.groupBy(*key).agg(F.count("*").alias("lines")).filter("lines > 1").select(*key)
+    return texts.join(cut.join(shared, key, "left_semi").select(*_LINE).distinct(), [*_LINE], "left_semi")
+
+
+def _hub_of_lines(texts: DataFrame, similar: float) -> DataFrame:
+    """``leaf, body, template`` of the lines that a hub of their leaf stands for, itself included."""
+    first = F.struct((-F.col("docs")).alias("docs"), F.array_join("tokens", " ").alias("text"))
+    equal = F.size(F.filter(F.zip_with("tokens", "hub.tokens", lambda a, b: a == b), lambda same: same))
+    found, left = [], saved(_with_partner(texts, similar), "left")
+    while not left.isEmpty():
+        hubs = left.groupBy("leaf").agg(F.min_by(F.struct("body", "tokens"), first).alias("hub"))
+        is_alike = (equal >= F.lit(similar) * F.size("tokens")) | (F.col("body") == F.col("hub.body"))
+        tried = saved(
+            left.join(hubs, "leaf").withColumn("template", F.when(is_alike, F.col("hub.body"))).drop("hub"), "tried"
+        )
+        found.append(tried.filter("template is not null").select(*_LINE, "template"))
+        left = saved(_with_partner(tried.filter("template is null").drop("template"), similar), "left")
+    none = texts.limit(0).select(*_LINE, F.col("body").alias("template"))
+    return reduce(DataFrame.unionAll, found, none)
+
+
 def recurring_lines(
     docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, least_docs: int = LEAST_DOCS
 ) -> DataFrame:
@@ -65,12 +105,8 @@ def recurring_lines(
         .groupBy(*_LINE).agg(F.first("tokens").alias("tokens"))
         .join(bodies, [*_LINE])
     )
-    texts = saved(texts, "tokens")
-    first = F.struct((-F.col("docs")).alias("docs"), F.array_join("tokens", " ").alias("text"))
-    hubs = texts.groupBy("leaf").agg(F.min_by(F.struct("body", "tokens"), first).alias("hub"))
-    equal = F.size(F.filter(F.zip_with("tokens", "hub.tokens", lambda a, b: a == b), lambda same: same))
-    alike = texts.join(hubs, "leaf").filter(equal >= F.lit(similar) * F.size("tokens"))
-    template = alike.select(*_LINE, F.col("hub.body").alias("template"))
+    alike = _hub_of_lines(saved(texts, "tokens"), similar)
+    template = alike.select(*_LINE, "template")
     named = saved(
         bodies.select(*_LINE).join(template, [*_LINE], "left").select(
             *_LINE, F.coalesce("template", "body").alias("template")

@@ -81,6 +81,36 @@ def test_line_templates(spark, docs, no_docs):
     assert linededup.drop_recurring_lines(no_docs).count() == 0
 
 
+def test_line_templates_beside_the_most_widespread(spark):
+    """Lines of one leaf that are alike to each other but not to its most widespread line."""
+    hub, other, third, alone = (" ".join(["a b c", *(f"{x}{i}" for i in "klmnopq")]) for x in "xyzw")
+    rows = [(i, f"{hub} same") for i in range(3)] + [(16, "")]
+    rows += [(10, f"{other} one\nown"), (11, f"{other} two"), (12, f"{third} one"), (13, f"{third} two"), (14, f"{alone} one")]
+    found = by_id(linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert {i: r.n_dropped for i, r in found.items()} == {0: 1, 1: 1, 2: 1, 10: 1, 11: 1, 12: 1, 13: 1, 14: 0, 16: 0}
+    assert found[10].text == "own"
+
+
+def test_line_templates_against_a_plain_version(spark):
+    draw = random.Random(8)
+    rows = [(i, " ".join(["a b c", *(draw.choice("xy") for _ in range(9))])) for i in range(60)]
+    rows += [(100 + i, " ".join(["d e f", *(draw.choice("xyz") for _ in range(2))])) for i in range(12)]
+    docs, leaves, template, spread = defaultdict(set), defaultdict(list), {}, defaultdict(set)
+    for doc_id, text in rows:
+        docs[tuple(text.split())].add(doc_id)
+    for words in sorted(docs, key=lambda w: (-len(docs[w]), w)):
+        hubs = leaves[len(words), words[:3]]
+        near = (h for h in hubs if sum(map(str.__eq__, h, words)) >= 0.8 * len(words))
+        template[words] = next(near, words)
+        if template[words] is words:
+            hubs.append(words)
+        spread[template[words]] |= docs[words]
+    assert max(map(len, leaves.values())) > 3
+    found = by_id(linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    expected = {i: int(len(spread[template[tuple(text.split())]]) > 1) for i, text in rows}
+    assert {i: r.n_dropped for i, r in found.items()} == expected
+
+
 def test_words_and_shingles():
     text = "A b\tC\x0bd\n e　f " * 3
     data, offsets = np.frombuffer((text + "a b").encode(), np.uint8), np.array([0, len(text.encode()), len(text.encode()) + 3])
