@@ -277,6 +277,32 @@ def test_chat_query(spark):
         assert (row.loss_chars, row.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
 
 
+def test_a_long_conversation_comes_in_pieces(spark):
+    draw = random.Random(9)
+    rows = [(None if i % 3 else i % 2, i // 2, draw.choice(["user", "gpt", None]), draw.choice(["", None, "a<|b\\é😀" * 9])) for i in range(5000)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    pieces = chat.format_rows(table, piece_chars=1000)
+    assert "collect_list" not in pieces._jdf.queryExecution().toString()
+    by_conv = defaultdict(list)
+    for r in sorted(pieces.collect(), key=lambda r: r.piece):
+        assert len(r.formatted) < 1000 + 300 and r.layout == "rows"
+        by_conv[r.id].append(r)
+    digest = {r.conv_id: r for r in chat.digests(pieces).collect()}
+    assert set(by_conv) == set(digest) == {None, 0, 1} and len(by_conv[None]) > 50
+    for conv_id, found in by_conv.items():
+        own = sorted((t, role or "", text or "") for c, t, role, text in rows if c == conv_id)
+        turns = [({"": "user", "gpt": "assistant"}.get(role, role), text) for _, role, text in own]
+        formatted, spans = chat.format_turns(turns)
+        assert "".join(r.formatted for r in found) == formatted
+        assert [(s.start, s.end) for r in found for s in r.mask] == spans
+        assert [r.piece for r in found] == list(range(len(found)))
+        whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+        assert digest[conv_id].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert (digest[conv_id].n_turns, digest[conv_id].formatted_chars) == (len(turns), len(formatted))
+        learned = "".join(text for role, text in turns if role == "assistant")
+        assert digest[conv_id].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+
+
 def semi_global(item, text):
     previous = list(range(len(item) + 1))
     best = previous[-1]
