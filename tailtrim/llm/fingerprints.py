@@ -3,8 +3,9 @@
 Every run of ``gram`` code points gets a rolling hash. Of every ``window`` consecutive hashes the
 smallest is chosen, of equal ones the rightmost; a hash chosen by several windows counts once. Two
 texts that share ``gram + window - 1`` code points in a row share a window, and so a fingerprint, and
-the kept positions tell where. A text shorter than a gram is one gram, one with fewer grams than a
-window is one window.
+the kept positions tell where. With the gram and window below these are 23 code points, a few words.
+A text shorter than a gram is one gram, one with fewer grams than a window is one window; of two such
+short texts a shared run may go unseen.
 
 :func:`winnow` is the operator on one text; :func:`fingerprints` applies it to a table. The query also
 fingerprints an edited text, half of it taken from the next document; rows are dealt into ranges of
@@ -32,8 +33,8 @@ from tailtrim.llm.common import columns_or_null, saved, small_batches, table
 from tailtrim.llm.ranges import with_parts
 from tailtrim.llm.shingles import mixed
 
-GRAM = 32
-WINDOW = 96
+GRAM = 8
+WINDOW = 16
 HASH_BITS = 40
 PIECE = 1 << 18
 

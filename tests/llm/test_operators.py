@@ -420,3 +420,18 @@ def test_fingerprints(docs, no_docs):
     assert own[4].fingerprint == "" and own[4].near_edited == 1.0
     assert fingerprints.edited_fingerprints(no_docs).count() == 0
     assert fingerprints.fingerprints(docs).count() == len(ROWS)
+
+
+def test_fingerprints_of_short_texts_see_what_an_edit_leaves(spark):
+    draw = random.Random(7)
+    sizes = [46, 47, 60, 90, 130, 180, 249] * 6
+    rows = [(i, "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))) for i, n in enumerate(sizes)]
+    found = fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(found) == len(rows) and min(r.near_edited for r in found) > 0
+    # Texts that share 23 code points anywhere share a hash.
+    passage = "the shared twenty-three"
+    for _ in range(200):
+        a, b = ("".join(draw.choice("abcdefgh ") for _ in range(draw.randint(0, 300))) for _ in range(2))
+        cut = draw.randint(0, len(a))
+        hashes = [fingerprints.winnow(text)[0] for text in (a[:cut] + passage + a[cut:], b + passage)]
+        assert fingerprints.likeness(*hashes) > 0
