@@ -108,10 +108,13 @@ def text_slices(
 
 
 def running_totals(
-    df: DataFrame, amounts: Sequence[str], group: Sequence[str], part: str, order: Sequence[Column]
+    df: DataFrame, amounts: Sequence[str], group: Sequence[str], part: str, order: Sequence[Column],
+    with_total: bool = False,
 ) -> DataFrame:
     """Add ``<amount>_before``: the sum over the rows before this one in its group.
 
+    ``with_total`` adds ``<amount>_total``, the sum over the whole group.
+
     Rows of a group are ordered by ``part``, then by ``order``; group and part hold no nulls. One
     window runs over the rows of a part only, another over one line per part, so that a group of
     any size is spread over tasks.
@@ -120,8 +123,11 @@ def running_totals(
     totals = df.groupBy(*keys).agg(*[F.sum(a).alias(f"_{a}_base") for a in amounts])
     over = Window.partitionBy(*(group or [F.lit(0)])).orderBy(part)
     before = over.rowsBetween(Window.unboundedPreceding, -1)
+    whole = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     totals = totals.select(
-        *keys, *[F.coalesce(F.sum(f"_{a}_base").over(before), F.lit(0)).alias(f"_{a}_base") for a in amounts]
+        *keys,
+        *[F.coalesce(F.sum(f"_{a}_base").over(before), F.lit(0)).alias(f"_{a}_base") for a in amounts],
+        *[F.sum(f"_{a}_base").over(whole).alias(f"{a}_total") for a in amounts if with_total],
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = df.withColumns(
@@ -130,3 +136,16 @@ def running_totals(
     sums = {f"{a}_before": F.col(f"_{a}_base") + F.col(f"_{a}_in") for a in amounts}
     own = [f"_{a}_{kind}" for a in amounts for kind in ("base", "in")]
     return ranked.join(totals, keys).withColumns(sums).drop(*own)
+
+
+def drawn_texts(docs: DataFrame, most: int, seed: str) -> DataFrame:
+    """At most ``most`` distinct texts of the column ``text``, as one column, those of lowest hash.
+
+    Equal texts are drawn once, however many rows have them; texts of one hash, which are most
+    likely equal, are drawn as one. The driver gets one hash.
+    """
+    drawn = docs.filter("text is not null").withColumn("_draw", F.xxhash64("text", F.lit(seed)))
+    lowest = drawn.select("_draw").distinct().orderBy("_draw").limit(most)
+    last = lowest.agg(F.max("_draw")).first()[0]
+    chosen = drawn.filter(F.col("_draw") <= F.lit(last if last is not None else 0))
+    return chosen.groupBy("_draw").agg(F.min("text").alias("text")).select("text")

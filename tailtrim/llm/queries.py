@@ -8,8 +8,11 @@ from tailtrim.llm import (
     fingerprints,
     language,
     linededup,
+    merkle,
     mixing,
     neardup,
+    periods,
+    secrets,
     sharding,
     tokens,
     toxicity,
@@ -26,10 +29,14 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": fingerprints.op10_fingerprints,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_secrets": secrets.op12_secrets,
+    "op13_periods": periods.op13_periods,
 }
 
 ORACLE_SQL = {
     "op2_linededup": linededup.OP2_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op6_sharding": sharding.OP6_SQL,
+    "op11_merkle": merkle.OP11_SQL,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +16,16 @@ PARTS_PER_PARTITION = 4
 LOWEST = -(2**63)
 
 
-def with_parts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+# Parts that the rows of an id are cut into if it fills a range of its own.
+TIES = 256
+
+
+def with_parts(docs: DataFrame, id_column: str = "doc_id", tie: Column | None = None) -> DataFrame:
     """Add ``order_id``, the id with null as the lowest, and ``part``, the number of its range.
 
+    ``tie``, from 0 to ``TIES - 1``, cuts an id that fills whole ranges, such as null, into parts of
+    its own, ordered by it; rows of one id have to be ordered by what ``tie`` is the beginning of.
+
     The bounds are quantiles of the ids, of which the driver gets one number per range; only the id
     column is read for them. Ranges hold about as many rows each, however the ids are spread.
     """
@@ -30,7 +38,15 @@ def with_parts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     shares = [i / parts for i in range(1, parts)]
     accuracy = max(10_000, 20 * parts)
     quantiles = docs.agg(F.percentile_approx("order_id", shares, accuracy)).first()[0] or []
-    return docs.withColumn("part", _bounds_upto(F.col("order_id"), sorted(set(quantiles))))
+    bounds = sorted(set(quantiles))
+    docs = docs.withColumn("part", _bounds_upto(F.col("order_id"), bounds))
+    if tie is None:
+        return docs
+    # An id that is a bound more than once, or the lowest one, opens its range.
+    full = sorted({b for b, times in Counter(quantiles).items() if times > 1} | set(bounds[:1]))
+    opens = F.col("order_id").isin(full) if full else F.lit(False)
+    inner = F.when(opens, tie.cast("int")).otherwise(TIES)
+    return docs.withColumn("part", (F.col("part") * (TIES + 1) + inner).cast("int"))
 
 
 def _bounds_upto(value: Column, bounds: list[int]) -> Column:
