@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,13 @@ from tailtrim.operators import (
     match_collections,
     survivors,
 )
-from tailtrim.plans import DATA, DATA_SMALL, SCANNER, VOICE, PurgeGroup, clean_up, purge
+from tailtrim.plans import DATA, DATA_SMALL, SCANNER, VOICE, PurgeEntry, PurgeGroup, clean_up, purge
 from tailtrim.plans.cleanup import find_sessions
 from tailtrim.sources import Campaign, StoredTable, load, shared_folder
 from tailtrim.sources.campaign import load_all
 
+FULL_READS = ("full_read", "full_read_umts", "full_read_lte")
+
 PATTERN = "%0014%"
 ONE_CUSTOMER = "%000000149%"
 CUTOFFS = Cutoffs(session=700, file=70)
@@ -56,12 +59,26 @@ STAND_INS = {
     "lcc_Physical_Info_Table": ("events", "sessionid", "event_id"),
 }
 
+# Tables that are only read, whole.
+LAST_FILES = {
+    "lcc_GSMScanner_allFreqs_allBCCH_50x50_probCobIndoor_LastFileid": ("customer", {}),
+    "lcc_UMTSScanner_allFreqs_allSC_50x50_probCobIndoor_LastFileid": ("orders", {"fileid": "o_custkey"}),
+    "lcc_LTEScanner_allFreqs_allPCIS_50x50_probCobIndoor_LastFileid": ("events", {"fileid": "user_id"}),
+}
+
+# A text column of a driver table, to be taken for a key by mistake.
+NOT_A_KEY = {"lineitem": "l_returnflag", "orders": "o_orderstatus"}
+# Orders of this status come without their priority in the delivery of two widths.
+NARROW_STATUS = "F"
+
 
 def stand_in_campaign(sf_dir: str, publish_to: str | None = None) -> Campaign:
     """The driver tables as one campaign."""
     stored = {
         table: StoredTable(name, {key: column}) for table, (name, key, column) in STAND_INS.items()
     }
+    for table, (name, columns) in LAST_FILES.items():
+        stored[table] = StoredTable(name, columns)
     stored["filelist"] = StoredTable("customer", {"fileid": "c_custkey", "collectionname": "c_name"})
     stored["sessions"] = StoredTable("orders", {"sessionid": "o_orderkey", "fileid": "o_custkey"})
     return Campaign(root=sf_dir, publish_to=publish_to, stored=stored)
@@ -108,8 +125,11 @@ def lookup_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_sessions(spark, stand_in_campaign(sf_dir), PATTERN, with_files=False)
 
 
-def full_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, Campaign(root=sf_dir), "customer")
+def full_read(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    def whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return load(spark, stand_in_campaign(sf_dir), table)
+
+    return whole_table
 
 
 def doomed_by_session(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,6 +245,55 @@ def published_table(table: str, group: PurgeGroup) -> Callable[[SparkSession, st
     return rows
 
 
+def catalog_campaign(spark: SparkSession, sf_dir: str) -> Campaign:
+    """The stand-in campaign as a new database of the catalog, whose tables are the driver's files."""
+    folder = f"{shared_folder(spark)}/tailtrim-{uuid.uuid4().hex}"
+    database = f"campaign_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
+    for name in ("customer", "orders", "lineitem", "events"):
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{sf_dir.rstrip('/')}/{name}.parquet'")
+    return Campaign(database=database, publish_to=folder, stored=stand_in_campaign(sf_dir).stored)
+
+
+def lookup_sessions_files_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_sessions(spark, catalog_campaign(spark, sf_dir), PATTERN)
+
+
+def purge_group_voice_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    campaign = catalog_campaign(spark, sf_dir)
+    purge(spark, campaign, VOICE, CUTOFFS)
+    return compared(spark, sf_dir, campaign, VOICE)
+
+
+def purge_two_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered in two files of different width, purged, and read back with all columns."""
+    folder = f"{shared_folder(spark)}/tailtrim-{uuid.uuid4().hex}"
+    orders = load(spark, Campaign(root=sf_dir), "orders")
+    is_narrow = F.col("o_orderstatus") == NARROW_STATUS
+    for rows in (orders.filter(is_narrow).drop("o_orderpriority"), orders.filter(~is_narrow)):
+        rows.write.mode("append").parquet(f"{folder}/lcc_timelink_position.parquet")
+    stored = {"lcc_timelink_position": StoredTable("lcc_timelink_position", {"fileid": "o_custkey"})}
+    campaign = Campaign(root=folder, stored=stored, merge_schema=True)
+    group = PurgeGroup("refilled", True, (PurgeEntry("lcc_timelink_position", "fileid"),))
+    purge(spark, campaign, group, CUTOFFS)
+    return load(spark, campaign, "lcc_timelink_position").withColumnRenamed("fileid", "o_custkey")
+
+
+def failed_purge(group: PurgeGroup, table: str) -> Callable[[SparkSession, str], DataFrame]:
+    def counts_afterwards(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Purge a group of which one table fails, then count every table of it."""
+        campaign = new_campaign(spark, sf_dir)
+        name, key, _ = STAND_INS[table]
+        broken = StoredTable(name, {key: NOT_A_KEY[name]})
+        try:
+            purge(spark, replace(campaign, stored={**campaign.stored, table: broken}), group, CUTOFFS)
+        except TypeError:
+            return compared(spark, sf_dir, campaign, group)
+        raise AssertionError(f"the purge of {table} should have failed")
+
+    return counts_afterwards
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = clean_up_queries()
     if llm_queries:
@@ -244,7 +313,7 @@ def clean_up_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_sessions_files_shuffled": lookup_sessions_files_shuffled,
         "lookup_wide": lookup_wide,
         "filter_ignoring_case": filter_ignoring_case,
-        "full_read": full_read,
+        **{name: full_read(table) for name, table in zip(FULL_READS, LAST_FILES)},
         "doomed_by_session": doomed_by_session,
         "doomed_by_file": doomed_by_file,
         "purge_by_session": purge_by_session,
@@ -263,6 +332,11 @@ def clean_up_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_atomic_by_session": published_table("lcc_position", VOICE),
         "published_atomic_by_file": published_table("lcc_timelink_position", VOICE),
         "published_stepwise_by_session": published_table("lcc_Scanner_GSM_Detailed", SCANNER),
+        "lookup_sessions_files_catalog": lookup_sessions_files_catalog,
+        "purge_group_voice_catalog": purge_group_voice_catalog,
+        "purge_two_widths": purge_two_widths,
+        "failed_atomic_group": failed_purge(VOICE, "lcc_Calls_Detailed"),
+        "failed_stepwise_group": failed_purge(SCANNER, "lcc_Scanner_UMTS_Detailed"),
     }
 
 
@@ -271,11 +345,15 @@ def _counts_sql(
     with_cutoff: bool = False,
     with_sum: bool = False,
     cutoffs: dict[str, str] | None = None,
+    purged: int | None = None,
 ) -> str:
+    """Counts of each table of a group, of which the first ``purged`` ones are, or all."""
     lines = []
-    for item in group.active:
+    for number, item in enumerate(group.active):
         name, key, column = STAND_INS[item.table]
         cutoff = cutoffs[key] if cutoffs else CUTOFFS.of(key)
+        if purged is not None and number >= purged:
+            cutoff = "CAST('Infinity' AS DOUBLE)"
         kept = f"NOT coalesce({column} >= {cutoff}, false)"
         what = f"'{item.table}' AS target, "
         if with_cutoff:
@@ -335,6 +413,8 @@ def clean_up_sql() -> dict[str, str]:
             SELECT c_custkey AS fileid, c_name AS collectionname
             FROM customer WHERE c_name ILIKE '%CUSTOMER%0014%'""",
         "full_read": "SELECT * FROM customer",
+        "full_read_umts": "SELECT * RENAME (o_custkey AS fileid) FROM orders",
+        "full_read_lte": "SELECT * RENAME (user_id AS fileid) FROM events",
         "doomed_by_session": "SELECT * FROM lineitem WHERE l_orderkey >= CAST(700 AS DOUBLE)",
         "doomed_by_file": "SELECT * FROM orders WHERE o_custkey >= CAST(70 AS DOUBLE)",
         "purge_by_session": kept_sessions,
@@ -362,4 +442,14 @@ def clean_up_sql() -> dict[str, str]:
         "published_atomic_by_file": kept_files,
         "published_stepwise_by_session": """
             SELECT * FROM events WHERE NOT coalesce(event_id >= CAST(700 AS DOUBLE), false)""",
+        "lookup_sessions_files_catalog": f"""
+            SELECT f.c_custkey AS fileid, s.o_orderkey AS sessionid, f.c_name AS collectionname
+            {matched} ORDER BY sessionid ASC NULLS FIRST, fileid ASC NULLS FIRST""",
+        "purge_group_voice_catalog": _counts_sql(VOICE, with_sum=True),
+        "purge_two_widths": f"""
+            SELECT * REPLACE (CASE WHEN o_orderstatus <> '{NARROW_STATUS}' THEN o_orderpriority END AS o_orderpriority)
+            FROM ({kept_files})""",
+        # Nothing is purged, or what comes before the table that fails.
+        "failed_atomic_group": _counts_sql(VOICE, with_sum=True, purged=0),
+        "failed_stepwise_group": _counts_sql(SCANNER, with_sum=True, purged=2),
     }

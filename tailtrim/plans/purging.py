@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tailtrim.functions.literals import literal_rows
+from tailtrim.functions.predicates import at_or_above
 from tailtrim.operators.removal import doomed, survivors
 from tailtrim.operators.sessions import Cutoffs
 from tailtrim.plans.groups import PurgeEntry, PurgeGroup
@@ -30,9 +31,11 @@ from tailtrim.sources.campaign import Campaign
 from tailtrim.sources.published import (
     FILE_PATH,
     LOG_SCHEMA,
+    Changes,
     Scan,
     data_folder,
     in_files,
+    published_runs,
     read_changes,
     write_changes,
 )
@@ -42,7 +45,7 @@ REPORT_SCHEMA = "target string, key string, cutoff double, removed bigint, kept
 # Rows of a rewritten file, so that scattered purges do not leave many small files behind.
 ROWS_PER_FILE = 10_000_000
 
-# Tables of one atomic group that are rewritten at the same time.
+# Tables of a group that are counted and rewritten at the same time.
 CONCURRENT_REWRITES = 4
 
 
@@ -91,17 +94,58 @@ def purge(
             spark, _count_only(_targets(spark, campaign, group.active, cutoffs)), REPORT_SCHEMA
         )
     together = group.atomic if atomic is None else atomic
-    report = []
-    for batch in [group.active] if together else [[entry] for entry in group.active]:
-        targets = _targets(spark, campaign, batch, cutoffs)
-        report += _purge_together(spark, campaign.publish_folder, targets)
-    return literal_rows(spark, report, REPORT_SCHEMA)
+    return literal_rows(spark, _purge(spark, campaign, group.active, cutoffs, together), REPORT_SCHEMA)
+
+
+def _purge(
+    spark: SparkSession, campaign: Campaign, entries: Sequence[PurgeEntry], cutoffs: Cutoffs, together: bool
+) -> list[tuple]:
+    """Purge some tables, published in one step or one after the other; their lines of the report.
+
+    The log is read once, before the first table. Tables are prepared at the same time, which writes
+    new files that nobody reads yet, and committed in order: the first failure ends the commits.
+    """
+    folder = campaign.publish_folder
+    known = published_runs(spark, folder)
+    changes = campaign.changes(spark, [entry.table for entry in entries])
+
+    def prepare(entry: PurgeEntry, run: str) -> _Prepared:
+        targets = _targets(spark, campaign, [entry], cutoffs, changes)
+        counts = _counts(targets)
+        touched = [target for target in targets if counts[target.table].touched]
+        schemas = {}
+        if touched:
+            schemas = _rewrite(spark, folder, run, touched, counts)
+            _check_written(spark, folder, run, schemas, counts)
+        return _Prepared(run, targets, touched, counts, schemas)
+
+    run = uuid.uuid4().hex
+    pool = ThreadPoolExecutor(CONCURRENT_REWRITES)
+    try:
+        work = inheritable_thread_target(spark)(prepare)
+        started = [pool.submit(work, entry, run if together else uuid.uuid4().hex) for entry in entries]
+        ready = (future.result() for future in started)
+        batches = [_joined(list(ready))] if together else ready
+        report = []
+        for batch in batches:
+            if batch.touched:
+                _check_unchanged(spark, folder, batch.touched, batch.counts, known)
+                _publish(spark, folder, batch.run, batch.touched, batch.counts, batch.schemas)
+                known |= {batch.run}
+            report += batch.report()
+        return report
+    finally:
+        pool.shutdown(cancel_futures=True)
 
 
 def _targets(
-    spark: SparkSession, campaign: Campaign, entries: Sequence[PurgeEntry], cutoffs: Cutoffs
+    spark: SparkSession,
+    campaign: Campaign,
+    entries: Sequence[PurgeEntry],
+    cutoffs: Cutoffs,
+    changes: Mapping[str, Changes] | None = None,
 ) -> list[_Target]:
-    scans = campaign.scans(spark, [entry.table for entry in entries])
+    scans = campaign.scans(spark, [entry.table for entry in entries], changes)
     return [
         _Target(
             entry,
@@ -115,13 +159,22 @@ def _targets(
     ]
 
 
+@dataclass(frozen=True)
+class _File:
+    """A file with doomed rows: how many rows it holds, and how many of them go."""
+
+    path: str
+    rows: int
+    removed: int
+
+
 @dataclass
 class _Counts:
     """Rows of a table, rows that go, and the files of each of its places that hold such rows."""
 
     rows: int = 0
     removed: int = 0
-    touched: dict[str, list] = field(default_factory=dict)
+    touched: dict[str, list[_File]] = field(default_factory=dict)
     rows_of: dict[str, int] = field(default_factory=dict)
 
     @property
@@ -129,75 +182,104 @@ class _Counts:
         return sum(file.rows - file.removed for files in self.touched.values() for file in files)
 
 
-def _count_only(targets: Sequence[_Target]) -> list[tuple]:
-    """The report of a purge that does not take place."""
-    counts = _counts(targets, with_files=False)
-    return [target.line(counts[target.table].rows, counts[target.table].removed) for target in targets]
+@dataclass(frozen=True)
+class _Prepared:
+    """Tables whose surviving rows are written under a run, ready to be published."""
+
+    run: str
+    targets: list[_Target]
+    touched: list[_Target]
+    counts: dict[str, _Counts]
+    schemas: dict[str, T.StructType]
+
+    def report(self) -> list[tuple]:
+        return [t.line(self.counts[t.table].rows, self.counts[t.table].removed) for t in self.targets]
+
+
+def _joined(parts: Sequence[_Prepared]) -> _Prepared:
+    """Several tables of one run as one."""
+    return _Prepared(
+        parts[0].run,
+        [target for part in parts for target in part.targets],
+        [target for part in parts for target in part.touched],
+        {table: counts for part in parts for table, counts in part.counts.items()},
+        {table: schema for part in parts for table, schema in part.schemas.items()},
+    )
 
 
-def _purge_together(spark: SparkSession, folder: str, targets: Sequence[_Target]) -> list[tuple]:
-    """Purge some tables and publish them in one step; their lines of the report."""
-    run = uuid.uuid4().hex
-    counts = _counts(targets)
-    touched = [target for target in targets if counts[target.table].touched]
-    if touched:
-        schemas = _rewrite(spark, folder, run, touched, counts)
-        _check_written(spark, folder, run, schemas, counts)
-        _check_unchanged(spark, folder, touched, counts)
-        _publish(spark, folder, run, touched, counts, schemas)
-    return [target.line(counts[target.table].rows, counts[target.table].removed) for target in targets]
+def _count_only(targets: Sequence[_Target]) -> list[tuple]:
+    """The report of a purge that does not take place: one aggregate per scan, no file is named."""
+    parts = [
+        scan.rows.agg(
+            F.count("*").alias("rows"),
+            F.count_if(at_or_above(scan.rows, target.stored_key, target.cutoff)).alias("removed"),
+        ).select(F.lit(number).alias("target"), "rows", "removed")
+        for number, target in enumerate(targets)
+        for scan in target.scans
+    ]
+    rows, removed = [0] * len(targets), [0] * len(targets)
+    for line in reduce(DataFrame.unionAll, parts).collect():
+        rows[line.target] += line.rows
+        removed[line.target] += line.removed
+    return [target.line(*found) for target, *found in zip(targets, rows, removed)]
 
 
 def _rows_per_file(targets: Sequence[_Target]) -> DataFrame:
-    """``target, scan, path, rows, removed`` of every file.
+    """``target, scan, path, removed`` of every file with doomed rows.
 
-    Of the doomed rows only the key column is read, of the row groups that reach the cutoff; all rows
-    are counted from the footers. Both are counted before the shuffle, so what is shuffled is a line
-    per file and task.
+    Only the key column is read, of the row groups that reach the cutoff, and only doomed rows are
+    counted by file; what is shuffled is a line per file and task.
     """
-
-    def counted(target: _Target, number: int, rows: DataFrame, doomed: int) -> DataFrame:
-        return rows.select(
-            F.lit(target.table).alias("target"),
-            F.lit(number).alias("scan"),
-            F.col(FILE_PATH).alias("path"),
-            F.lit(doomed).alias("doomed"),
+    parts = [
+        target.doomed(scan.rows).select(
+            F.lit(target.table).alias("target"), F.lit(number).alias("scan"), F.col(FILE_PATH).alias("path")
         )
+        for target in targets
+        for number, scan in enumerate(target.scans)
+    ]
+    return reduce(DataFrame.unionAll, parts).groupBy("target", "scan", "path").agg(F.count("*").alias("removed"))
 
+
+def _whole_counts(targets: Sequence[_Target]) -> DataFrame:
+    """``target, scan, path, removed`` with the rows of each scan in place of removed, and no path.
+
+    They are counted from the footers.
+    """
     parts = [
-        counted(target, number, rows, doomed)
+        scan.rows.agg(F.count("*").alias("removed")).select(
+            F.lit(target.table).alias("target"), F.lit(number).alias("scan"),
+            F.lit(None).cast("string").alias("path"), "removed",
+        )
         for target in targets
         for number, scan in enumerate(target.scans)
-        for doomed, rows in ((0, scan.rows), (1, target.doomed(scan.rows)))
     ]
-    return (
-        reduce(DataFrame.unionAll, parts)
-        .groupBy("target", "scan", "path")
-        .agg(F.count_if(F.col("doomed") == 0).alias("rows"), F.sum("doomed").alias("removed"))
-    )
+    return reduce(DataFrame.unionAll, parts)
 
 
-def _counts(targets: Sequence[_Target], with_files: bool = True) -> dict[str, _Counts]:
-    """Counts of each table, in one job. Names of files with doomed rows come to the driver, which
-    plans the read of each anyway.
+def _counts(targets: Sequence[_Target]) -> dict[str, _Counts]:
+    """Counts of each table. Names of files with doomed rows come to the driver, which plans the read
+    of each anyway; the rows of those files alone are counted by file, from their footers.
     """
-    lists = F.collect_list(
-        F.when(F.lit(with_files) & (F.col("removed") > 0), F.struct("path", "rows", "removed"))
-    )
-    lines = _rows_per_file(targets).groupBy("target", "scan").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("removed").alias("removed"),
-        lists.alias("files"),
-    )
     counts: dict[str, _Counts] = defaultdict(_Counts)
     scans = {target.table: target.scans for target in targets}
-    for line in lines.collect():
+    removed: dict[tuple[str, str], dict[str, int]] = defaultdict(dict)
+    for line in _whole_counts(targets).unionAll(_rows_per_file(targets)).collect():
         table, base = counts[line.target], scans[line.target][line.scan].base
-        table.rows += line.rows
-        table.removed += line.removed
-        if line.files:
-            table.touched[base] = line.files
-        table.rows_of[base] = line.rows
+        if line.path is None:
+            table.rows += line.removed
+            table.rows_of[base] = line.removed
+        else:
+            table.removed += line.removed
+            removed[line.target, base][line.path] = line.removed
+    if removed:
+        rows = {(table, scan.base): scan.rows for table, own in scans.items() for scan in own}
+        by_file = [
+            rows[place].filter(in_files(files)).groupBy(F.col(FILE_PATH).alias("path")).count()
+            for place, files in removed.items()
+        ]
+        sizes = {line.path: line["count"] for line in reduce(DataFrame.unionAll, by_file).collect()}
+        for (table, base), files in removed.items():
+            counts[table].touched[base] = [_File(path, sizes[path], gone) for path, gone in files.items()]
     return counts
 
 
@@ -265,9 +347,7 @@ def _rewrite(
         writer.parquet(data_folder(folder, run, target.table))
         return target.table, kept.schema
 
-    with ThreadPoolExecutor(CONCURRENT_REWRITES) as pool:
-        written = pool.map(inheritable_thread_target(spark)(write), targets)
-        return dict(found for found in written if found)
+    return dict(found for target in targets if (found := write(target)))
 
 
 def _check_written(
@@ -297,9 +377,18 @@ def _check_written(
 
 
 def _check_unchanged(
-    spark: SparkSession, folder: str, targets: Sequence[_Target], counts: dict[str, _Counts]
+    spark: SparkSession,
+    folder: str,
+    targets: Sequence[_Target],
+    counts: dict[str, _Counts],
+    known: frozenset[str],
 ) -> None:
-    """Refuse to publish if another purge has replaced one of the touched files meanwhile."""
+    """Refuse to publish if another purge has replaced one of the touched files meanwhile.
+
+    The log is only listed, and read if it holds runs beside the known ones.
+    """
+    if published_runs(spark, folder) <= known:
+        return
     changes = read_changes(spark, folder, [target.table for target in targets])
     for target in targets:
         now = changes.get(target.table)

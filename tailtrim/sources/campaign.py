@@ -28,6 +28,10 @@ class Campaign:
     Give ``root`` for a folder that holds ``<table><suffix>`` Parquet tables, or ``database`` for a
     catalog database. Purges publish below ``publish_to``; a folder campaign publishes to its own
     folder by default, a catalog campaign without it can be looked up and dry-run only.
+
+    Tables that were filled again with more columns hold files of different width. Spark takes the
+    columns of one file; ``merge_schema`` takes those of all, at the price of a job that reads every
+    footer when a table is loaded. A catalog declares the columns itself.
     """
 
     root: str | None = None
@@ -35,6 +39,7 @@ class Campaign:
     publish_to: str | None = None
     suffix: str = ".parquet"
     stored: Mapping[str, StoredTable] = field(default_factory=dict)
+    merge_schema: bool = False
 
     def __post_init__(self) -> None:
         if (self.root is None) == (self.database is None):
@@ -57,13 +62,24 @@ class Campaign:
             return f"{self.database}.{name}".lower()
         return f"{self.root.rstrip('/')}/{name}{self.suffix}"
 
-    def scans(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, list[published.Scan]]:
-        """The scans whose rows make up each table now; the purge log is read once for all."""
-        changes = {}
-        if self.publish_folder is not None:
-            changes = published.read_changes(spark, self.publish_folder, tables)
+    def changes(self, spark: SparkSession, tables: Sequence[str]) -> dict[str, published.Changes]:
+        """What purges changed in some tables; the purge log is read once for all."""
+        if self.publish_folder is None:
+            return {}
+        return published.read_changes(spark, self.publish_folder, tables)
+
+    def scans(
+        self,
+        spark: SparkSession,
+        tables: Sequence[str],
+        changes: Mapping[str, published.Changes] | None = None,
+    ) -> dict[str, list[published.Scan]]:
+        """The scans whose rows make up each table now, or after the given changes."""
+        if changes is None:
+            changes = self.changes(spark, tables)
         locations = {table: self.location(table) for table in tables}
-        read = spark.read.parquet if self.database is None else spark.table
+        files = spark.read.option("mergeSchema", self.merge_schema)
+        read = files.parquet if self.database is None else spark.table
         delivered = {location: read(location) for location in dict.fromkeys(locations.values())}
         unchanged = published.Changes()
         return {

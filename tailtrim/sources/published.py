@@ -110,6 +110,17 @@ def in_files(paths: Iterable[str]) -> Column:
     return F.expr(f"{FILE_PATH} IN ({listed})")
 
 
+def published_runs(spark: SparkSession, folder: str) -> frozenset[str]:
+    """The runs in the log, by a listing of its files; nothing is read."""
+    try:
+        files = spark.read.schema(LOG_SCHEMA).parquet(f"{log_folder(folder)}/*").inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return frozenset()
+        raise
+    return frozenset(file.split("/")[-2] for file in files)
+
+
 def read_changes(
     spark: SparkSession, folder: str, tables: Sequence[str]
 ) -> dict[str, Changes]:

@@ -85,4 +85,6 @@ class _Session:
 def test_a_cluster_never_falls_back_to_a_folder_of_the_machine():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session({"spark.master": "yarn"}))
-    assert shared_folder(_Session({"spark.master": "local[2]"})).startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session({"spark.master": "local[2]"}))
+    assert shared_folder(_Session({"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"

@@ -403,3 +403,77 @@ def test_clean_up_of_several_groups(spark, root, campaign):
     wet = clean_up(spark, campaign, "%B%", [group("a"), group("b", atomic=False)])
     assert dry.collect() == wet.collect()
     assert keys(spark, campaign, "a") == Counter([9]) and keys(spark, campaign, "b") == Counter([10])
+
+
+def test_a_dry_run_names_no_file(spark, root, campaign, monkeypatch):
+    write(spark, root, "a", range(100), files=4)
+    purge(spark, campaign, group("a"), Cutoffs(80))
+    plans = []
+    kind = type(spark.range(1))
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(explained(df)) or collect(df))
+    (line,) = purging._count_only(purging._targets(spark, campaign, group("a").active, Cutoffs(50)))
+    assert line == ("a", SESSION, 50.0, 30, 50)
+    assert "ReadSchema: struct<sessionid:bigint>" in plans[-1]
+    assert "hashpartitioning" not in plans[-1] and "note" not in plans[-1]
+
+
+@pytest.mark.parametrize("atomic", [True, False])
+def test_the_log_is_read_once_for_a_group(spark, root, campaign, monkeypatch, atomic):
+    for table in "abc":
+        write(spark, root, table, range(20), files=2)
+    reads = []
+    read_changes = purging.read_changes
+
+    def noted(*args):
+        reads.append(args)
+        return read_changes(*args)
+
+    monkeypatch.setattr(purging, "read_changes", noted)
+    monkeypatch.setattr("tailtrim.sources.published.read_changes", noted)
+    purge(spark, campaign, group("a", "b", "c", atomic=atomic), Cutoffs(5))
+    assert len(reads) == 1
+    for table in "abc":
+        assert keys(spark, campaign, table) == Counter(range(5))
+
+
+def test_a_purge_of_another_table_meanwhile_is_no_conflict(spark, root, campaign, monkeypatch):
+    for table in "ab":
+        write(spark, root, table, range(10))
+    rewrite = purging._rewrite
+
+    def meanwhile(*args):
+        monkeypatch.setattr(purging, "_rewrite", rewrite)
+        purge(spark, campaign, group("b"), Cutoffs(3))
+        return rewrite(*args)
+
+    monkeypatch.setattr(purging, "_rewrite", meanwhile)
+    purge(spark, campaign, group("a"), Cutoffs(5))
+    assert keys(spark, campaign, "a") == Counter(range(5))
+    assert keys(spark, campaign, "b") == Counter(range(3))
+
+
+def test_a_purge_of_the_same_file_meanwhile_is_refused(spark, root, campaign, monkeypatch):
+    write(spark, root, "a", range(10))
+    rewrite = purging._rewrite
+
+    def meanwhile(*args):
+        monkeypatch.setattr(purging, "_rewrite", rewrite)
+        purge(spark, campaign, group("a"), Cutoffs(3))
+        return rewrite(*args)
+
+    monkeypatch.setattr(purging, "_rewrite", meanwhile)
+    with pytest.raises(RuntimeError, match="another purge"):
+        purge(spark, campaign, group("a"), Cutoffs(5))
+    assert keys(spark, campaign, "a") == Counter(range(3))
+
+
+@pytest.mark.parametrize("wide_first", [True, False])
+def test_all_columns_of_files_of_different_width(spark, root, wide_first):
+    wide_and_narrow(spark, root, wide_first)
+    campaign = Campaign(root=root, merge_schema=True)
+    wide = range(0, 10) if wide_first else range(10, 20)
+    for cutoff in (20, 15, 3):
+        purge(spark, campaign, group("a"), Cutoffs(cutoff))
+        left = {r[SESSION]: r.b for r in load(spark, campaign, "a").collect()}
+        assert left == {k: 2 * k if k in wide else None for k in range(cutoff)}
