@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -38,21 +37,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, ``spark.checkpoint.dir``.
-
-    Where it is unset, as in a local test, one is made and set for the session's context.
-    """
+    """The folder all executors share, ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tailtrim-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named.rstrip("/")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -360,16 +360,37 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row of each group of near copies, with all columns, and all rows without an id.
 
-    Of rows with the same id the one with the smallest text stays.
+    The row with the smallest id stays; of different texts with that id, the one of the smallest hash. A
+    row goes only for a link: rows that share an id and nothing else all stay, but for equal rows, of
+    which one does.
     """
-    ids = near_duplicates(docs, settings).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    ids = ids.withColumnRenamed("doc_id", "_kept_id")
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("_text"))
-    # The ids are as many as the documents kept, so the join always shuffles.
-    kept = rows.join(ids.hint("merge"), F.col("_id") == F.col("_kept_id"), "left_semi")
-    order = Window.partitionBy("_id").orderBy(F.asc_nulls_first("_text"))
+    rows = docs.select(
+        F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("_text")
+    ).filter("_id IS NOT NULL")
+    texts = rows.select("_id", F.xxhash64(F.coalesce("_text", F.lit("")), F.col("_text").isNull()).alias("_hash"))
+    spread = texts.groupBy("_id").agg(F.min("_hash").alias("low"), F.max("_hash").alias("high"))
+    repeated = saved(spread.filter("low <> high").select(F.col("_id").alias("_twice")), "repeated")
+    if repeated.isEmpty():
+        keyed = rows.withColumn("_key", F.col("_id"))
+    else:
+        # A row of such an id gets a key of its own, made of id and text.
+        own = F.xxhash64("_id", "_text", F.col("_text").isNull())
+        keyed = rows.join(repeated, F.col("_id") == F.col("_twice"), "left")
+        keyed = saved(keyed.withColumn("_key", F.when(F.col("_twice").isNull(), F.col("_id")).otherwise(own)).drop("_twice"), "keyed")
+    named = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), F.col("_text").alias("text")), settings)
+    if repeated.isEmpty():
+        chosen = named.filter("kept")
+    else:
+        # Keys do not ascend like ids, so the first of a component is looked for by id.
+        ids = keyed.select(F.col("_key").alias("doc_id"), "_id").distinct()
+        first = F.min(F.struct("_id", "doc_id")).alias("first")
+        chosen = named.join(ids.hint("merge"), "doc_id").groupBy("component_id").agg(first).select("first.doc_id")
+    chosen = chosen.select(F.col("doc_id").alias("_kept")).distinct()
+    # The keys are as many as the documents kept, so the join always shuffles.
+    kept = keyed.join(chosen.hint("merge"), F.col("_key") == F.col("_kept"), "left_semi")
+    order = Window.partitionBy("_key").orderBy("_id")
     one = kept.withColumn("_number", F.row_number().over(order)).filter("_number = 1").select("_row.*")
-    return one.unionAll(docs.filter(F.col("doc_id").isNull()))
+    return one.unionAll(docs.filter(F.col("doc_id").cast("bigint").isNull()))
 
 
 OP3_SETTINGS = Settings(words=3, above=85, of=100)

@@ -14,7 +14,7 @@ its arc; ranks are counted in parts, so a text with a third of all rows is sprea
 
 Law: ``rows``. Defined results: a null text has no bytes and the place of an empty one; a null id is
 ranked as the text 'null'; of equal rows any may come first; an empty table gives no rows; further
-columns are ignored by the query and kept by nothing but :func:`shard`'s ``keep``.
+columns are ignored by the query and kept by :func:`shard`'s ``keep``, whatever their names.
 """
 
 from __future__ import annotations
@@ -133,20 +133,21 @@ def shard(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, home, shard, slot`` of every row, and its columns in ``keep``.
 
-    ``home`` is the shard of the ring without bounds; ``slot`` counts the rows of a shard from 0.
+    ``home`` is the shard of the ring without bounds; ``slot`` counts the rows of a shard from 0. Columns
+    in ``keep`` come back under their own names, whatever these are; a result of the same name is then
+    called ``sharding_<name>``.
     """
     spark = docs.sparkSession
-    taken = {"doc_id", "size", "text_crc32", "home", "shard", "slot", "arc", "part", "one"}
-    kept = {name: f"_keep_{i}" for i, name in enumerate(keep) if name not in ("doc_id",)}
+    kept = [name for name in keep if name != "doc_id"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.md5(text)
+    own = F.struct(F.lit(0).cast("tinyint").alias("_"), *[F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(kept)])
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        key.alias("_text_key"),
+        F.md5(text).alias("_text_key"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("_id_key"),
-        *[F.col(f"`{name}`").alias(alias) for name, alias in kept.items()],
+        *([own.alias("_row")] if kept else []),
     ).withColumns({
         "place": _digits(F.col("_text_key"), 1, 4),
         "part": F.substring("_id_key", 1, 2),
@@ -164,10 +165,15 @@ def shard(
     inside = (F.col("one_before") >= F.col("low")) & (F.col("one_before") < F.col("high"))
     sharded = ranked.join(F.broadcast(spans), "arc").filter(inside)
     homes = around.select("arc", F.col("shard").alias("home"))
+    results = {
+        "doc_id": F.col("doc_id"), "size": F.col("size"), "text_crc32": F.col("text_crc32"),
+        "home": F.col("home"), "shard": F.col("shard"),
+        "slot": F.col("base") + F.col("one_before") - F.col("low"),
+    }
+    taken = {name.lower() for name in kept}
     return sharded.join(F.broadcast(homes), "arc").select(
-        "doc_id", "size", "text_crc32", "home", "shard",
-        (F.col("base") + F.col("one_before") - F.col("low")).alias("slot"),
-        *[F.col(alias).alias(name) for name, alias in kept.items() if name not in taken],
+        *[value.alias(f"sharding_{name}" if name in taken else name) for name, value in results.items()],
+        *[F.col(f"_row._{i}").alias(name) for i, name in enumerate(kept)],
     )
 
 
