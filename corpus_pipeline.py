@@ -2,14 +2,14 @@
 
 1. ``toxicity``: documents that the tagger finds toxic go.
 2. ``near_duplicates``: of each group of near copies (five-word shingles, similarity 0.8 or more) the
-   one with the smallest id stays.
+   one with the smallest id stays. Rows without an id stay.
 3. ``decontamination``: documents that hold a benchmark item, up to some edits, go.
 4. ``mixing``: sources are mixed to their target weights; a document that the mix takes several times
    is there several times, one that it does not take is not. Texts without words are never taken.
 5. ``sharding``: every row gets a shard and a slot in it.
 
-Each stage keeps all columns of documents, further ones too. Of rows with one id (not null) the near
-duplicates' stage keeps one, that with the smallest text. Empty tables run through.
+Each stage keeps all columns of documents, further ones too, whatever their names. Rows that share an id
+but not their text are documents of their own; of equal rows one stays. Empty tables run through.
 """
 
 from __future__ import annotations
