@@ -10,14 +10,21 @@ and texts every backslash is doubled, and a backslash is put after the ``<`` of
 text can close its turn or open another one, and reading back removes what was put in. The mask of the
 loss lists the spans of the assistant's texts, in code points of the formatted text.
 
-A table of turns is dealt out by conversation, sorted and formatted as a stream of pieces of whole turns,
-so a task holds a batch and a piece however long a conversation is; the sort spills to disk. Digests are
+A table of turns may hold rows of several layouts, too: rows that are a turn each, in columns of different
+names, and rows that are a whole exchange, in flat or nested columns. The paths of a row are those of its
+columns that are not null; a row without a text or a role is still a turn, so these paths may be missing.
+Their fingerprint, computed in Spark, selects the mapping of the row, which makes the row its turns.
+
+Turns are dealt out by conversation, sorted and formatted as a stream of pieces of whole turns,
+so a task holds a batch and a piece however long a conversation is; the sort spills to disk. A piece holds
+turns of one layout. Digests are
 folded over the same stream, which makes a conversation one task's work, though not its memory's.
 
 Defined results: a null or empty text is an empty turn, a null role is ``user``; turns of one number are
 ordered by role and text; a record that is null or not JSON has no turns. Roles of other names for the
-three parties are made canonical. A conversation with a null id is kept as one of its own. Empty tables
-give no rows; further columns are ignored.
+three parties are made canonical. A conversation with a null id is kept as one of its own. A row whose
+paths no mapping has, such as one with texts in two layouts, has no turns; its conversation is still
+there. Empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,10 +34,12 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tailtrim.llm.common import columns_or_null, small_batches, table
 
@@ -73,6 +82,15 @@ MAPPINGS = (
     Mapping("nested_data", fields=(("user", "data.prompt"), ("assistant", "data.response"))),
 )
 
+# Layouts of the rows of a table, beside those above that keep an exchange in single fields.
+ROW_MAPPINGS = (
+    Mapping("rows", role="role", text="text", number="turn"),
+    Mapping("rows_content", role="role", text="content", number="turn"),
+    Mapping("rows_value", role="from", text="value", number="turn"),
+    Mapping("rows_message", role="message.role", text="message.content", number="turn"),
+    *[mapping for mapping in MAPPINGS if mapping.fields],
+)
+
 _KNOWN = {path for mapping in MAPPINGS for path in mapping.paths}
 
 
@@ -86,14 +104,104 @@ def paths(record: object, prefix: str = "") -> set[str]:
     return {prefix}
 
 
-def fingerprint(found: set[str]) -> str:
+def fingerprint(found: set[str], known: set[str] = _KNOWN) -> str:
     """Hash of the field paths that any mapping knows."""
-    return hashlib.sha256("\n".join(sorted(found & _KNOWN)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(found & known)).encode()).hexdigest()[:16]
 
 
 BY_FINGERPRINT = {fingerprint(set(mapping.paths)): mapping for mapping in MAPPINGS}
 
 
+def _row_paths(mapping: Mapping) -> set[str]:
+    return {path for path in (mapping.role, mapping.text, mapping.number, *[p for _, p in mapping.fields]) if path}
+
+
+_KNOWN_IN_ROWS = {"turn"}.union(*(_row_paths(mapping) for mapping in ROW_MAPPINGS))
+
+
+def _by_row_fingerprint() -> dict[str, int]:
+    """Places in ``ROW_MAPPINGS`` by fingerprint; the first mapping that a set of paths fits has it."""
+    found: dict[str, int] = {}
+    for place, mapping in enumerate(ROW_MAPPINGS):
+        every = sorted(_row_paths(mapping))
+        # Of an exchange only the number may be missing or there; of a turn, each of its fields.
+        sets = [set(every), {*every, "turn"}]
+        if not mapping.fields:
+            sets += [set(chosen) for size in range(len(every)) for chosen in combinations(every, size)]
+        for own in sets:
+            found.setdefault(fingerprint(own, _KNOWN_IN_ROWS), place)
+    return found
+
+
+BY_ROW_FINGERPRINT = _by_row_fingerprint()
+
+
+def _leaves(schema: T.StructType, prefix: str = "") -> dict[str, Column]:
+    """The leaves of nested columns by their paths."""
+    found = {}
+    for field in schema.fields:
+        path = f"{prefix}.{field.name}" if prefix else field.name
+        if isinstance(field.dataType, T.StructType):
+            found |= _leaves(field.dataType, path)
+        else:
+            found[path] = F.col(".".join(f"`{part}`" for part in path.split(".")))
+    return found
+
+
+def turns_of_rows(rows: DataFrame) -> DataFrame:
+    """``conv_id, turn, place, role, text, layout, fingerprint`` of the turns of a table of any row layouts.
+
+    ``layout`` is the place of the row's mapping in ``ROW_MAPPINGS``, null for a row without turns. Turns
+    of a conversation are ordered by ``turn, exchange, place, role, text``.
+    """
+    leaves = _leaves(rows.schema)
+    if "conv_id" not in leaves:
+        raise ValueError("the table must have the column conv_id")
+    own = {path: column.cast("string") for path, column in leaves.items() if path in _KNOWN_IN_ROWS}
+    paths = F.concat_ws("\n", *[F.when(own[path].isNotNull(), F.lit(path)) for path in sorted(own)])
+    places = F.create_map(*[F.lit(x) for pair in BY_ROW_FINGERPRINT.items() for x in pair])
+    none = F.lit(None).cast("string")
+
+    def listed(mapping: Mapping) -> Column:
+        fields = mapping.fields or ((None, mapping.text),)
+        turns: list[tuple[Column, Column]] = []
+        last = None
+        for role, path in fields:
+            text = F.coalesce(own.get(path, none), F.lit(""))
+            if role is not None and role == last:
+                # Fields of one role that follow each other are one turn.
+                turns[-1] = (turns[-1][0], F.concat(turns[-1][1], F.when(text == "", "").otherwise(F.concat(F.lit("\n\n"), text))))
+            else:
+                turns.append((F.lit(role) if role else F.coalesce(own.get(mapping.role, none), F.lit("")), text))
+            last = role
+        return F.array(*[F.struct(role.alias("role"), text.alias("text")) for role, text in turns])
+
+    number = own.get("turn", none).cast("bigint")
+    # Internal names may be those of columns, so each step selects what it needs.
+    marked = rows.select(
+        leaves["conv_id"].cast("bigint").alias("_conv_id"), F.substring(F.sha2(paths.cast("binary"), 256), 1, 16).alias("_fingerprint"), "*"
+    )
+    laid = marked.select(
+        "_conv_id", "_fingerprint", number.alias("_turn"),
+        *[column.alias(f"_p{i}") for i, column in enumerate(own.values())],
+        places[F.col("_fingerprint")].alias("layout"),
+    )
+    own.update({path: F.col(f"_p{i}") for i, path in enumerate(list(own))})
+    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
+    exchange = F.lit("")
+    for place, mapping in enumerate(ROW_MAPPINGS):
+        if _row_paths(mapping) & set(own) or place == 0:
+            turns = F.when(F.col("layout") == place, listed(mapping)).otherwise(turns)
+            if mapping.fields:
+                key = F.concat_ws("\n", *[own.get(path, none) for _, path in mapping.fields])
+                exchange = F.when(F.col("layout") == place, key).otherwise(exchange)
+    told = laid.select(
+        F.col("_conv_id").alias("conv_id"), F.col("_turn").alias("turn"), exchange.alias("exchange"),
+        F.posexplode_outer(turns).alias("place", "one"), "layout", F.col("_fingerprint").alias("fingerprint"),
+    )
+    return told.select("conv_id", "turn", "exchange", "place", "one.role", "one.text", "layout", "fingerprint")
+
+
 def _at(record: dict, path: str):
     for key in path.split("."):
         record = record.get(key) if isinstance(record, dict) else None
@@ -220,28 +328,26 @@ _PIECES = (
 
 
 def format_rows(rows: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """Format a table of turns (``conv_id, turn, role, text``) in pieces.
+    """Format a table of turns in pieces: ``conv_id``, and columns of any of the layouts of rows.
 
     Returns ``id, layout, fingerprint, piece, start, n_turns, formatted, mask``: the pieces of a conversation
     put together by ``piece`` are its text. ``start`` and ``mask`` count code points of the whole text.
     The pieces of a conversation follow each other in one partition.
     """
     small_batches(rows.sparkSession)
-    rows = columns_or_null(rows, {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"})
-    none = F.lit("")
-    rows = rows.select("conv_id", "turn", *[F.coalesce(name, none).alias(name) for name in ("role", "text")])
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    layout = next(mapping for mapping in MAPPINGS if mapping.name == "rows")
-    schema = fingerprint(set(layout.paths))
+    order = ["conv_id", "turn", "exchange", "place", "role", "text"]
+    ordered = turns_of_rows(rows).repartition("conv_id").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines: list[tuple] = []
         parts: list[str] = []
         spans: list[dict] = []
-        own, piece, start, size = None, -1, 0, 0
+        own, piece, start, size, is_open = None, -1, 0, 0, False
+        layout, schema = None, None
 
         def close() -> None:
-            lines.append((own, layout.name, schema, piece, start, len(parts), "".join(parts), list(spans)))
+            name = ROW_MAPPINGS[layout].name if layout is not None else None
+            lines.append((own, name, schema, piece, start, len(parts), "".join(parts), list(spans)))
             parts.clear()
             spans.clear()
 
@@ -255,13 +361,21 @@ def format_rows(rows: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
             )
 
         for batch in batches:
-            for conv_id, role, text in zip(*[batch.column(name).to_pylist() for name in ("conv_id", "role", "text")]):
+            names = ("conv_id", "role", "text", "layout", "fingerprint")
+            for conv_id, role, text, place, print_ in zip(*[batch.column(name).to_pylist() for name in names]):
                 if piece < 0 or conv_id != own:
-                    if parts:
+                    if is_open:
+                        close()
+                    own, piece, start, size, is_open = conv_id, 0, 0, 0, True
+                    layout, schema = place, print_
+                elif not is_open or (parts and place is not None and place != layout):
+                    if is_open:
                         close()
-                    own, piece, start, size = conv_id, 0, 0, 0
-                elif not parts:
-                    piece, start = piece + 1, size
+                    piece, start, is_open = piece + 1, size, True
+                    layout, schema = place, print_
+                if place is None:
+                    continue
+                layout, schema = (place, print_) if not parts else (layout, schema)
                 role = role or "user"
                 formatted, found = format_turns([(ROLES.get(role, role), text)])
                 parts.append(formatted)
@@ -269,9 +383,10 @@ def format_rows(rows: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
                 size += len(formatted)
                 if size - start >= piece_chars:
                     close()
+                    is_open = False
             if lines:
                 yield batch_of_lines()
-        if parts:
+        if is_open:
             close()
         if lines:
             yield batch_of_lines()
