@@ -10,8 +10,12 @@ labels by gradient ascent on the conditional likelihood, in numpy.
 
 Every whole text is tagged with it: forward and backward recursions give each word the chance that it
 is toxic, in blocks of words whose transfer matrices are multiplied, so texts of any length are handled
-by array operations. A document's score is a calibrated function of the expected number and share of toxic words;
-runs of words that are more likely toxic than not are its offending spans.
+by array operations. A document's score is a calibrated function of the expected number and share of toxic
+words, counted from chances of ``FLOOR`` on, so that it does not grow with the length of a clean text. Runs
+of words that are more likely toxic than not are its offending spans; without one it scores below 0.5.
+
+Bounds: about ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` labelled documents of up to ``SAMPLE_BYTES`` are
+learned from, and the chain is fitted on at most ``STRETCHES`` stretches of each. Every text is scored whole.
 
 Defined results: a null or empty text has no words and the score of a document without toxic words, and
 so has every document if nothing could be learned (then half the share of toxic labels, or 0).
@@ -44,8 +48,14 @@ SAMPLE_BYTES = 100_000
 # against chance is this much above what the best of all words of the sample reaches by chance.
 LEAST_EVIDENCE = 1.5
 ABOVE_CHANCE = 3.0
-# Words on either side of a labelled one that the chain is fitted on.
+# Words on either side of a labelled one that the chain is fitted on, and stretches of words taken
+# from one document of the sample: its first words, then those around its first toxic ones.
 CONTEXT = 32
+STRETCHES = 8
+# Chances below this are those of any clean word and do not add up to toxicity in a long text.
+FLOOR = 0.02
+# A text without an offending span scores below 0.5, however its words add up.
+UNFLAGGED = 0.49
 # Letters of the beginnings of words that are learned besides whole words.
 BEGINNINGS = (5, 6, 7)
 STEPS = 150
@@ -101,6 +111,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]],
     chosen = one_each.filter(draw < share)
     # The sample has about SAMPLE_TOXIC + SAMPLE_CLEAN lines, whatever the input.
     texts = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id")
+    # An id that many rows share is one line of the sample, with the first of its texts.
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     rows = texts.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).collect()
     prior = float(np.log(max(counts.get(1, 0), 0.5) / max(counts.get(0, 0), 0.5)))
     return sorted((r.text, r.toxic) for r in rows), prior
@@ -172,10 +184,11 @@ def _evidence(sample: list[tuple[str, int]]) -> tuple[dict[str, float], set[str]
     return odds, telling
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | float:
+def fit(docs: DataFrame, labels: DataFrame, stretches: int = STRETCHES) -> ToxicityModel | float:
     """A model, or, where no word is telling, the score of every document.
 
-    The driver holds the sample only.
+    The driver holds the sample only. The chain is fitted on at most ``stretches`` stretches of
+    ``2 * CONTEXT`` words of each document of it.
     """
     small_batches(docs.sparkSession)
     docs = columns_or_null(docs, {"doc_id": "bigint", "text": "string"})
@@ -192,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | float:
     for word, value in odds.items():
         step = 1 + int(min(value, 7.99) * (EVIDENCE_STEPS - 2) / 8)
         evidence[word] = max(step, 4) if word in telling else min(step, 3)
-    windows, tags = _windows(sample, evidence, telling)
+    windows, tags = _windows(sample, evidence, telling, stretches)
     own, before, after, transitions = _train_chain(windows, tags)
     model = ToxicityModel(evidence, own, before, after, transitions, np.zeros(3))
     weights = _calibrate(model, sample)
@@ -201,8 +214,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | float:
     return replace(model, calibration=weights)
 
 
-def _windows(sample: list, evidence: dict[str, int], telling: set[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and tags of stretches of words, ``[stretches, words, 2]``; tag -1 is no word."""
+def _windows(
+    sample: list, evidence: dict[str, int], telling: set[str], stretches: int = STRETCHES
+) -> tuple[np.ndarray, np.ndarray]:
+    """Features and tags of stretches of words, ``[stretches, words, 2]``; tag -1 is no word.
+
+    So many stretches of a document are taken at most.
+    """
     width = 2 * CONTEXT
     rows, tags = [], []
     for text, label in sample:
@@ -213,7 +231,7 @@ def _windows(sample: list, evidence: dict[str, int], telling: set[str]) -> tuple
         for place, mark in enumerate(marks):
             if mark and place >= starts[-1] + width:
                 starts.append(max(place - CONTEXT, 0))
-        for start in starts[:8]:
+        for start in starts[:stretches]:
             part = words[start : start + width]
             if part:
                 pad = width - len(part)
@@ -381,9 +399,16 @@ class Tagger:
         return marginals(score, counts, model.transitions), counts
 
     def scores(self, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        owner = np.repeat(np.arange(len(counts)), counts)
-        expected = np.bincount(owner, chances, minlength=len(counts))
-        return _logistic(_summary(expected, counts) @ self.model.calibration)
+        """The score of each text; it stays below 0.5 where no word is toxic rather than not."""
+        found = _logistic(_summary(_expected(chances, counts), counts) @ self.model.calibration)
+        flagged = np.bincount(np.repeat(np.arange(len(counts)), counts), chances >= 0.5, minlength=len(counts)) > 0
+        return np.where(flagged, found, np.minimum(found, UNFLAGGED))
+
+
+def _expected(chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The toxic words to expect in each text, of words with more than a clean word's chance."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return np.bincount(owner, np.where(chances >= FLOOR, chances, 0.0), minlength=len(counts))
 
 
 def _only_blanks(texts: pa.Array) -> pa.Array:
@@ -407,8 +432,7 @@ def _calibrate(model: ToxicityModel, sample: list[tuple[str, int]]) -> np.ndarra
     parts = []
     for first in range(0, len(sample), 200):
         chances, counts = tagger.chances(pa.array([text for text, _ in sample[first : first + 200]]))
-        owner = np.repeat(np.arange(len(counts)), counts)
-        parts.append(_summary(np.bincount(owner, chances, minlength=len(counts)), counts))
+        parts.append(_summary(_expected(chances, counts), counts))
     inputs = np.concatenate(parts)
     labels = np.array([label for _, label in sample], float)
     weights = np.zeros(inputs.shape[1])
@@ -447,7 +471,7 @@ def score(docs: DataFrame, model: ToxicityModel | float) -> DataFrame:
                     chances, counts = tagger.chances(texts)
                     scores = tagger.scores(chances, counts)
                     ends = np.cumsum(counts)
-                    expected = np.bincount(np.repeat(np.arange(len(counts)), counts), chances, minlength=len(counts))
+                    expected = _expected(chances, counts)
                     spans = [[] for _ in range(len(texts))]
                     hot = np.flatnonzero(chances >= 0.5)
                     for i in np.unique(np.searchsorted(ends, hot, "right")):
