@@ -44,13 +44,13 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a step to the shared folder and go on from the written table.
 
     This cuts the lineage: what is written survives lost executors, and is computed once.
     """
     path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -129,21 +129,33 @@ def _merged(begins: list[int], budget: int) -> list[tuple[int, int]]:
     return [(low, high) for low, high in runs]
 
 
-def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The distinct normal items, in blocks of about ``block_bytes``; the driver holds one block."""
+def _normal_items(items: DataFrame) -> DataFrame:
+    """``item_id, text`` of the different normal texts of the items, each with its smallest id."""
     items = columns_or_null(items, {"item_id": "bigint", "text": "string"}).filter("item_id IS NOT NULL")
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [normal(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(texts, pa.string())], ["item_id", "text"])
+
+    normals = items.mapInArrow(run, "item_id bigint, text string").filter("text <> ''")
+    return normals.groupBy("text").agg(F.min("item_id").alias("item_id"))
+
+
+def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
+    """The different normal items, in blocks of about ``block_bytes``; the driver holds one block.
+
+    Equal items are merged before blocks are cut, and the blocks are written once, one folder for each.
+    """
+    merged = saved(_normal_items(items), "items")
+    total = merged.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / block_bytes))
-    # Equal items fall in the same block, whatever their case and spaces.
-    key = F.lower(F.regexp_replace("text", r"(?U)\s+", ""))
-    numbered = items.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)))
+    if blocks > 1:
+        numbered = merged.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int"))
+        merged = saved(numbered.repartition("block"), "blocks", partition_by=["block"])
     for block in range(blocks):
-        ids: dict[str, int] = {}
-        for row in numbered.filter(F.col("block") == block).collect():
-            text = normal(row.text)
-            if text:
-                ids[text] = min(row.item_id, ids.get(text, row.item_id))
-        yield sorted((item_id, text) for text, item_id in ids.items())
+        rows = merged.filter(F.col("block") == block) if blocks > 1 else merged
+        yield sorted((row.item_id, row.text) for row in rows.collect())
 
 
 def find_items(

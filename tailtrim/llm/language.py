@@ -104,14 +104,20 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, per_language: int) -> list:
-    """Subword counts of about ``per_language`` rows of each language; rows are chosen by hash."""
+    """Subword counts of about ``per_language`` texts of each language, chosen by hash.
+
+    Equal texts of a language are one line, however many rows have them.
+    """
     usable = docs.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    hashed = usable.withColumn("hash", F.xxhash64("text", F.lit("sample")))
+    different = hashed.select("lang", "hash").distinct()
+    counts = {r.lang: r.n for r in different.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, per_language / n)])
-    draw = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = usable.filter(draw < share[F.col("lang")])
+    draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = hashed.filter(draw < share[F.col("lang")])
+    chosen = drawn.groupBy("lang", "hash").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +150,7 @@ def _sample(docs: DataFrame, per_language: int) -> list:
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel | None:
     """Learn from ``lang`` and ``text``; None if there is nothing to learn from.
 
-    The driver holds the subword counts of about ``per_language`` rows per language.
+    The driver holds the subword counts of about ``per_language`` different texts per language.
     """
     small_batches(docs.sparkSession)
     lines = _sample(columns_or_null(docs, {"lang": "string", "text": "string"}), per_language)
