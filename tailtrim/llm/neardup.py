@@ -13,8 +13,8 @@ their Jaccard similarity, and the sketch of a union is the register-wise maximum
    the second is larger, or both agree, with the known set sizes. Pairs clearly below the threshold
    go; the rest is confirmed on the full shingle sets of the two texts.
 4. Links make components. Only a bucket whose members lie in more than one component can hide a
-   further link; its members are compared, in blocks of a bounded number, across components only,
-   on sketches, and what passes is confirmed as in 3. So no link between different texts is lost but
+   further link; its members are compared, in blocks of a bounded number, across components only (those
+   of the bucket's largest component with the others, never with each other), on sketches, and what passes is confirmed as in 3. So no link between different texts is lost but
    by the chance that no band of theirs agrees or that the estimate is far off, about one in a million
    and one in thirty thousand for a pair right at the threshold; a document has to lose all its links
    to leave its component.
@@ -255,14 +255,24 @@ def _hidden_pairs(buckets: DataFrame, groups: DataFrame, sketched: DataFrame, se
     member = buckets.join(groups.withColumnRenamed("component", "_c"), "id", "left").select(
         "key", "id", F.coalesce("_c", "id").alias("component")
     )
+    parts = member.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed_keys = (
-        member.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter((F.col("low") != F.col("high")) & (F.col("size") > 2))
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        parts.groupBy("key")
+        .agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+        .filter((F.col("parts") > 1) & (F.col("size") > 2))
+        .select(
+            "key", F.col("main.component").alias("main"),
+            F.ceil(F.col("main.n") / BLOCK).cast("int").alias("mains"),
+            F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int").alias("others"),
+        )
     )
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # Members of the bucket's largest component meet the others only, not each other: blocks below
+    # ``mains`` are theirs, and a bucket of one large group and a few more costs its size, not its square.
+    is_main = F.col("component") == F.col("main")
+    hashed = F.xxhash64("id")
+    block = F.when(is_main, F.pmod(hashed, F.col("mains"))).otherwise(F.col("mains") + F.pmod(hashed, F.col("others"))).cast("int")
+    first = F.when(is_main, F.col("mains")).otherwise(F.lit(0))
+    other = F.explode(F.sequence(first, F.col("mains") + F.col("others") - 1))
     placed = (
         member.join(mixed_keys, "key")
         .select("key", "id", "component", block.alias("block"), other.alias("other"))
