@@ -1,18 +1,24 @@
 """Drop recurring lines by a tree of line templates.
 
 Lines are parsed at fixed depth: by their number of tokens, then by their leading tokens. Tokens with a
-digit are variable and become ``<*>`` before. The lines of a leaf share a template if they agree with
-the leaf's most widespread line, its hub, in enough places; where they differ, the template is variable
-too. Of the lines that do not, the most widespread one is the next hub, until every line has a
-template. A template that occurs in several documents is boilerplate: its lines are dropped from all
-of them. Everything is built of DataFrame functions.
-
-There is a round for each hub of the leaf with the most of them. Lines that cannot be alike to another
-one left leave before: two lines that differ in at most d places are equal in one of d + 1 runs of places.
-
-Only hashes of lines are shuffled, but for the lines of leaves that hold several different lines and
-occur in several documents, whose tokens are compared, and for the texts, once, to drop lines from them.
-Counts are made of distinct pairs, pre-aggregated, so a line with a third of all rows is no hot group.
+digit are variable and become ``<*>`` before. The different lines of a leaf are taken in order, those of
+most documents first, then by text: a line that agrees with an earlier hub of its leaf in enough places
+has the template of the first such hub, and where they differ the template is variable; any other line
+is a hub itself. A template that occurs in several documents is boilerplate: its lines are dropped from
+all of them. Everything is built of DataFrame functions.
+
+Two lines that differ in at most d places are equal in one of d + 1 runs of the places behind the
+leading ones. So lines only meet in the buckets of their runs, and buckets of one line are dropped at
+once. All leaves, and all lines of a leaf that have no bucket in common, are worked on at the same time:
+in each round the lines that come first in all their buckets are hubs, for no line before them can be
+alike, and every line that meets one is compared with it. A line that is alike to a hub will not be one,
+but waits for hubs further ahead. There are as many rounds as hubs have to wait for each other, at most
+as many as one bucket has hubs, however many a leaf has. Lines are known by their rank in the order,
+so a round moves numbers, and the lines of pairs to compare.
+
+Each text is tokenised once. What is shuffled is hashes of lines, each different line of the leaves that
+hold several of them, and the texts, once, to drop lines from them. Counts are made of distinct pairs,
+pre-aggregated, so a line with a third of all rows is no hot group.
 
 Defined results: a null or empty text has no lines and stays empty; blank lines are never dropped and
 do not count. Rows with equal id and text are one document, so repeating a row drops nothing. An empty
@@ -33,90 +39,103 @@ DEPTH = 3
 SIMILAR = 0.8
 LEAST_DOCS = 2
 VARIABLE = "<*>"
-_WITH_DIGIT = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+# Tokens with a digit, told at their first character; possessive, so nothing is tried twice.
+_WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+_BLANKS = r"[\x20\x09\x0B-\x0D]+"
+_UNEVEN = r"[0-9\x09\x0B-\x0D]|\x20\x20"
 
 _DOC = ("doc_id", "tie")
 _LINE = ("leaf", "body")
 
 
-def _tokens(line: Column) -> Column:
-    masked = F.regexp_replace(line, F.lit(_WITH_DIGIT), F.lit(VARIABLE))
-    return F.regexp_extract_all(masked, F.lit(WORD), F.lit(0))
-
-
 def _lines(docs: DataFrame, depth: int) -> DataFrame:
-    """One row for each line that is not blank, with its tokens and the hashes of leaf and line."""
+    """One row for each line that is not blank: its tokens joined by spaces, hashes of leaf and line."""
     split = docs.select(*_DOC, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    tokens = split.select(*_DOC, "place", _tokens(F.col("line")).alias("tokens")).filter(F.size("tokens") > 0)
-    leaf = F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, depth), " "))
-    return tokens.withColumn("leaf", leaf).withColumn("body", F.xxhash64(F.array_join("tokens", " ")))
+    # Most lines are as they should be: the replacing expressions run on the others only.
+    masked = F.regexp_replace(F.regexp_replace("line", _WITH_DIGIT, VARIABLE), _BLANKS, " ")
+    line = F.when(F.col("line").rlike(_UNEVEN), masked).otherwise(F.col("line"))
+    lines = split.withColumn("line", F.trim(line)).filter("line <> ''")
+    tokens = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    leaf = F.xxhash64(tokens, F.substring_index("line", " ", depth))
+    return lines.withColumn("leaf", leaf).withColumn("body", F.xxhash64("line"))
 
 
-def _with_partner(texts: DataFrame, similar: float) -> DataFrame:
-    """The lines that equal another one of their leaf in a run of places, as all alike ones do."""
+def _buckets(texts: DataFrame, depth: int, similar: float) -> DataFrame:
+    """``bucket, rank`` of the runs that a line shares with another one of its leaf."""
     size = F.size("tokens")
+    rest = F.greatest(size - depth, F.lit(0))
     # As many runs as places in which alike lines may differ, and one; of no line more than places.
-    runs = F.least(size, size - F.ceil(F.lit(similar) * size - F.lit(1e-6)) + 1).cast("int")
+    runs = F.least(rest, size - F.ceil(F.lit(similar) * size - F.lit(1e-6)) + 1).cast("int")
 
     def piece(run: Column) -> Column:
-        first, last = (F.floor(r * size / runs).cast("int") for r in (run, run + 1))
-        return F.xxhash64(F.array_join(F.slice("tokens", first + 1, last - first), " "))
-
-    pieces = F.transform(F.sequence(F.lit(0), runs - 1), piece)
-    cut = texts.select(*_LINE, pieces.alias("pieces")).select(*_LINE, F.posexplode("pieces").alias("run", "piece"))
-    key = ["leaf", "run", "piece"]
-    shared = cut.groupBy(*key).agg(F.count("*").alias("lines")).filter("lines > 1").select(*key)
-    return texts.join(cut.join(shared, key, "left_semi").select(*_LINE).distinct(), [*_LINE], "left_semi")
-
-
-def _hub_of_lines(texts: DataFrame, similar: float) -> DataFrame:
-    """``leaf, body, template`` of the lines that a hub of their leaf stands for, itself included."""
-    first = F.struct((-F.col("docs")).alias("docs"), F.array_join("tokens", " ").alias("text"))
-    equal = F.size(F.filter(F.zip_with("tokens", "hub.tokens", lambda a, b: a == b), lambda same: same))
-    found, left = [], saved(_with_partner(texts, similar), "left")
-    while not left.isEmpty():
-        hubs = left.groupBy("leaf").agg(F.min_by(F.struct("body", "tokens"), first).alias("hub"))
-        is_alike = (equal >= F.lit(similar) * F.size("tokens")) | (F.col("body") == F.col("hub.body"))
-        tried = saved(
-            left.join(hubs, "leaf").withColumn("template", F.when(is_alike, F.col("hub.body"))).drop("hub"), "tried"
+        first, last = (F.floor(r * rest / runs).cast("int") for r in (run, run + 1))
+        return F.xxhash64("leaf", run, F.array_join(F.slice("tokens", depth + first + 1, last - first), " "))
+
+    cut = texts.select("rank", "leaf", F.split("line", " ").alias("tokens")).filter(rest > 0)
+    cut = cut.select("rank", F.explode(F.transform(F.sequence(F.lit(0), runs - 1), piece)).alias("bucket"))
+    shared = cut.groupBy("bucket").agg(F.count("*").alias("lines")).filter("lines > 1").select("bucket")
+    return cut.join(shared, "bucket", "left_semi").select("bucket", "rank")
+
+
+def _templates(texts: DataFrame, depth: int, similar: float) -> DataFrame:
+    """``rank, hub`` of the lines that are alike to a hub: the rank of the first such one."""
+    tokens = [F.split(name, " ") for name in ("line", "hub_line")]
+    equal = F.size(F.filter(F.zip_with(*tokens, lambda a, b: a == b), lambda same: same))
+    is_alike = equal >= F.lit(similar) * F.size(tokens[0])
+    lines = texts.select("rank", "line")
+    hub_lines = lines.toDF("hub", "hub_line")
+    found = []
+    entries = saved(_buckets(texts, depth, similar).withColumn("is_open", F.lit(True)), "entries")
+    while not entries.filter("is_open").isEmpty():
+        heads = entries.filter("is_open").groupBy("bucket").agg(F.min("rank").alias("hub"))
+        met = entries.join(heads, "bucket")
+        waits = met.filter("is_open").groupBy("rank").agg(F.max(F.col("hub") < F.col("rank")).alias("waits"))
+        hubs = saved(waits.filter("NOT waits").select(F.col("rank").alias("hub")), "hubs")
+        pairs = met.filter("rank <> hub").select("rank", "hub").distinct().join(hubs, "hub", "left_semi")
+        alike = saved(
+            pairs.join(lines, "rank").join(hub_lines, "hub").filter(is_alike).select("rank", "hub"), "alike"
         )
-        found.append(tried.filter("template is not null").select(*_LINE, "template"))
-        left = saved(_with_partner(tried.filter("template is null").drop("template"), similar), "left")
-    none = texts.limit(0).select(*_LINE, F.col("body").alias("template"))
-    return reduce(DataFrame.unionAll, found, none)
+        found.append(alike)
+        named = alike.groupBy("rank").agg(F.lit(True).alias("is_named"))
+        left = entries.join(hubs.withColumnRenamed("hub", "rank"), "rank", "left_anti").join(named, "rank", "left")
+        left = left.withColumn("is_open", F.col("is_open") & F.col("is_named").isNull()).drop("is_named")
+        # Buckets without an open line decide nothing more.
+        going = left.filter("is_open").select("bucket").distinct()
+        entries = saved(left.join(going, "bucket", "left_semi").select("bucket", "rank", "is_open"), "entries")
+    none = texts.limit(0).select("rank", F.col("rank").alias("hub"))
+    return reduce(DataFrame.unionAll, found, none).groupBy("rank").agg(F.min("hub").alias("hub"))
 
 
 def recurring_lines(
     docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, least_docs: int = LEAST_DOCS
 ) -> DataFrame:
     """``doc_id, tie, place`` of the lines whose template recurs; ``docs`` has ``doc_id, tie, text``."""
-    exploded = _lines(docs, depth)
-    lines = saved(exploded.select(*_DOC, "place", *_LINE), "lines")
-    widespread = lines.select(*_DOC, "leaf").distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
-    leaves = saved(widespread.filter(F.col("docs") >= least_docs).select("leaf"), "leaves")
-    hot = lines.join(leaves, "leaf")
-    bodies = saved(
-        hot.select(*_DOC, *_LINE).distinct().groupBy(*_LINE).agg(F.count("*").alias("docs")), "bodies"
-    )
+    lines = saved(_lines(docs, depth), "lines")
+    placed = lines.select(*_DOC, "place", *_LINE)
+    of_docs = placed.select(*_DOC, *_LINE).distinct()
+    bodies = saved(of_docs.groupBy(*_LINE).agg(F.count("*").alias("docs")), "bodies")
+    # A leaf with several lines may hold a template of several documents; else a line's own count tells.
     several = bodies.groupBy("leaf").agg(F.count("*").alias("bodies")).filter("bodies > 1").select("leaf")
-    # The tokens of the different lines of leaves with several; equal lines have equal tokens.
-    texts = (
-        exploded.select(*_LINE, "tokens").join(several, "leaf")
-        .groupBy(*_LINE).agg(F.first("tokens").alias("tokens"))
-        .join(bodies, [*_LINE])
-    )
-    alike = _hub_of_lines(saved(texts, "tokens"), similar)
-    template = alike.select(*_LINE, "template")
-    named = saved(
-        bodies.select(*_LINE).join(template, [*_LINE], "left").select(
-            *_LINE, F.coalesce("template", "body").alias("template")
-        ),
-        "templates",
+    some = saved(bodies.join(several, "leaf", "left_semi"), "some")
+    texts = lines.select(*_LINE, "line").join(some.select(*_LINE), [*_LINE], "left_semi")
+    texts = texts.groupBy(*_LINE).agg(F.min("line").alias("line")).join(some, [*_LINE])
+    # Ranks ascend in the order of the lines, over all leaves; written down, they stay as they are.
+    ordered = texts.orderBy(F.desc("docs"), "line").withColumn("rank", F.monotonically_increasing_id())
+    texts = saved(ordered.select("rank", *_LINE, "line"), "texts")
+    templates = saved(_templates(texts, depth, similar), "templates")
+    ranks = texts.select("rank", *_LINE)
+    hub_bodies = ranks.toDF("hub", "hub_leaf", "template")
+    named = ranks.join(templates, "rank").join(hub_bodies, "hub").select(*_LINE, "template")
+    # Lines without a hub are their own template; only those that share one are counted anew.
+    members = saved(
+        named.unionAll(named.select("leaf", F.col("template").alias("body"), "template")).distinct(), "members"
     )
-    placed = hot.join(named, [*_LINE])
-    spread = placed.select(*_DOC, "leaf", "template").distinct().groupBy("leaf", "template").agg(F.count("*").alias("docs"))
-    recurring = spread.filter(F.col("docs") >= least_docs).select("leaf", "template")
-    return placed.join(recurring, ["leaf", "template"], "left_semi").select(*_DOC, "place")
+    joint = of_docs.join(members, [*_LINE]).select(*_DOC, "leaf", "template").distinct()
+    spread = joint.groupBy("leaf", "template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs)
+    shared = members.join(spread.select("leaf", "template"), ["leaf", "template"]).select(*_LINE)
+    own = bodies.filter(F.col("docs") >= least_docs).select(*_LINE)
+    recurring = saved(own.unionAll(shared).distinct(), "recurring")
+    return placed.join(recurring, [*_LINE], "left_semi").select(*_DOC, "place")
 
 
 def drop_recurring_lines(docs: DataFrame, **settings) -> DataFrame:
@@ -127,6 +146,8 @@ def drop_recurring_lines(docs: DataFrame, **settings) -> DataFrame:
     ).withColumn("tie", F.xxhash64("text"))
     # Equal rows count once; a line of a document is a place, so a set is bounded by the document.
     dropped = recurring_lines(docs, **settings).groupBy(*_DOC).agg(F.collect_set("place").alias("dropped"))
+    # Written first, so that its size is known and the texts need no shuffle where it is small.
+    dropped = saved(dropped, "dropped")
     none = F.array().cast("array<int>")
     joined = docs.join(dropped, [*_DOC], "left").withColumn("dropped", F.coalesce("dropped", none))
     lines = joined.withColumn("lines", F.split("text", "\n", -1))
@@ -147,24 +168,35 @@ def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The oracle's expressions know no possessive pattern; this one says the same.
+_WITH_DIGIT_SQL = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+
 OP2_SQL = f"""
-    WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    WITH RECURSIVE docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     split AS (
         SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM docs),
     tokens AS MATERIALIZED (
-        SELECT *, regexp_extract_all(regexp_replace(line, '{_WITH_DIGIT}', '{VARIABLE}', 'g'), '{WORD}') AS tokens
+        SELECT *, regexp_extract_all(regexp_replace(line, '{_WITH_DIGIT_SQL}', '{VARIABLE}', 'g'), '{WORD}') AS tokens
         FROM split),
     lines AS MATERIALIZED (
         SELECT doc_id, place, tokens, len(tokens) || ' ' || array_to_string(tokens[1:{DEPTH}], ' ') AS leaf,
                array_to_string(tokens, ' ') AS body FROM tokens WHERE len(tokens) > 0),
     bodies AS (SELECT leaf, body, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM lines GROUP BY ALL),
-    hubs AS (SELECT DISTINCT ON (leaf) leaf, body AS hub, tokens AS hub_tokens FROM bodies ORDER BY leaf, docs DESC, body),
+    ordered AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY leaf ORDER BY docs DESC, body) AS turn FROM bodies),
+    -- One line of every leaf at a time: the first hub it is alike to, or a hub itself.
     named AS (
-        SELECT leaf, body, CASE WHEN len(list_filter(range(1, len(tokens) + 1), lambda i: tokens[i] = hub_tokens[i]))
-                                     >= {SIMILAR} * len(tokens) THEN hub ELSE body END AS template
-        FROM bodies JOIN hubs USING (leaf)),
-    placed AS MATERIALIZED (SELECT doc_id, place, leaf, template FROM lines JOIN named USING (leaf, body)),
+        SELECT leaf, turn, body, body AS template, [{{'body': body, 'tokens': tokens}}] AS hubs FROM ordered WHERE turn = 1
+        UNION ALL
+        SELECT leaf, turn, body, coalesce(near.body, body) AS template,
+               CASE WHEN near IS NULL THEN list_append(hubs, {{'body': body, 'tokens': tokens}}) ELSE hubs END AS hubs
+        FROM (SELECT o.leaf, o.turn, o.body, o.tokens, n.hubs,
+                     list_filter(n.hubs, lambda h: len(list_filter(range(1, len(o.tokens) + 1),
+                         lambda i: h.tokens[i] = o.tokens[i])) >= {SIMILAR} * len(o.tokens))[1] AS near
+              FROM named n JOIN ordered o ON o.leaf = n.leaf AND o.turn = n.turn + 1)),
+    placed AS MATERIALIZED (
+        SELECT doc_id, place, leaf, template FROM lines JOIN (SELECT leaf, body, template FROM named) USING (leaf, body)),
     recurring AS (
         SELECT leaf, template FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= {LEAST_DOCS}),
     dropped AS (

@@ -111,6 +111,20 @@ def test_line_templates_against_a_plain_version(spark):
     assert {i: r.n_dropped for i, r in found.items()} == expected
 
 
+@pytest.mark.parametrize("pairs", [1, 15])
+def test_rounds_do_not_grow_with_the_templates_of_a_leaf(spark, monkeypatch, pairs):
+    """Pairs of alike lines, all in one leaf, none alike to a line of another pair."""
+    saves = []
+    monkeypatch.setattr(linededup, "saved", lambda df, name, save=linededup.saved: saves.append(name) or save(df, name))
+    rows = []
+    for i in range(pairs):
+        words = [f"{chr(97 + i)}{c}" for c in "klmnopqrs"]
+        rows += [(2 * i, " ".join(["a b c", *words, "one"])), (2 * i + 1, " ".join(["a b c", *words, "two"]))]
+    found = linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.n_dropped for r in found} == {1} and len(found) == 2 * pairs
+    assert saves.count("hubs") == 1
+
+
 def test_words_and_shingles():
     text = "A b\tC\x0bd\n e　f " * 3
     data, offsets = np.frombuffer((text + "a b").encode(), np.uint8), np.array([0, len(text.encode()), len(text.encode()) + 3])
@@ -204,8 +218,29 @@ def test_pieces_give_the_ids_of_whole_texts():
     texts = ["".join(draw.choice(" \n\ta1é!'s.,　中😀\x1c|") for _ in range(draw.randint(0, 40))) for _ in range(3000)]
     encoder = tokens.Encoder(tokens.public_tokenizer())
     whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
-    for text, expected in zip(texts, whole):
-        assert np.frombuffer(encoder(text), encoder.id_type).tolist() == [*expected.ids, 0]
+    found = tokens._of_texts(*encoder(pa.array(texts)))
+    for ids, expected in zip(found, whole, strict=True):
+        assert ids.tolist() == [*expected.ids, 0]
+
+
+def test_ids_of_a_whole_table_against_plain_encoding(spark, tmp_path):
+    """The registered query, and ids that fill whole ranges, one of them null."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows += [(None, f"no id {i}") for i in range(150)] + [(7, f"hot {i}") for i in range(150)] + [(9, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(tokens.op4_tokens(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    encoder = tokens.Encoder(tokens.public_tokenizer())
+    plain = defaultdict(Counter)
+    for (doc_id, _), whole in zip(rows, encoder.tokenizer.encode_batch([text or "" for _, text in rows], add_special_tokens=False)):
+        ids = [*whole.ids, 0]
+        plain[doc_id][len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    assert [r.doc_id for r in found] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i))
+    at = 0
+    for row in found:
+        assert row.start == at
+        plain[row.doc_id][row.n_tokens, row.ids_crc32] -= 1
+        at += row.n_tokens
+    assert not any(n for own in plain.values() for n in own.values())
 
 
 def test_mixing(docs, no_docs):
@@ -260,6 +295,46 @@ def test_chat(spark):
     assert [found[i].n_turns for i in (1, 4, 5)] == [2, 0, 0]
 
 
+def test_rows_of_several_layouts(spark):
+    """The mapping of each row follows from the paths of its fields, nested ones too."""
+    schema = (
+        "conv_id bigint, turn bigint, role string, text string, content string, `from` string, value string, "
+        "prompt string, response string, data struct<prompt:string,response:string>, "
+        "message struct<role:string,content:string>, system string, layout string, place int"
+    )
+
+    def row(conv_id, turn=None, layout="x", place=5, **fields):
+        names = ["role", "text", "content", "from", "value", "prompt", "response", "data", "message", "system"]
+        return (conv_id, turn, *[fields.get(name) for name in names], layout, place)
+
+    rows = [
+        row(1, 1, role="user", text="a"), row(1, 2, role="assistant", content="b"),
+        row(1, 3, **{"from": "human"}, value="c"), row(1, 4, prompt="d", response="e"),
+        row(1, 5, data=("f", "g")), row(1, 6, message=("gpt", "h")), row(1, 7, system="i", prompt="j", response="k"),
+        row(2, 1, role="assistant"), row(2, 2, text="only"), row(2), row(2, 3, data=(None, None)),
+        row(3, 1, text="two", content="texts"), row(4, 1, prompt="p", response="q"), row(4, 1, prompt="o", response="r"),
+    ]
+    table = spark.createDataFrame(rows, schema)
+    pieces = sorted(chat.format_rows(table).collect(), key=lambda r: (r.id, r.piece))
+    turns = defaultdict(list)
+    for piece in pieces:
+        turns[piece.id] += chat.read_turns(piece.formatted)
+    assert turns[1] == [
+        ("user", "a"), ("assistant", "b"), ("user", "c"), ("user", "d"), ("assistant", "e"), ("user", "f"),
+        ("assistant", "g"), ("assistant", "h"), ("system", "i"), ("user", "j"), ("assistant", "k"),
+    ]
+    assert turns[2] == [("user", ""), ("assistant", ""), ("user", "only"), ("user", "")]
+    assert turns[3] == [] and [(r.layout, r.n_turns) for r in pieces if r.id == 3] == [(None, 0)]
+    assert turns[4] == [("user", "o"), ("assistant", "r"), ("user", "p"), ("assistant", "q")]
+    assert [r.layout for r in pieces if r.id == 1] == [
+        "rows", "rows_content", "rows_value", "prompt_response", "nested_data", "rows_message", "system_prompt_response",
+    ]
+    assert pieces[0].fingerprint == chat.fingerprint({"turn", "role", "text"}, chat._KNOWN_IN_ROWS)
+    assert len({r.fingerprint for r in pieces if r.id == 1}) == 7
+    digest = {r.conv_id: r for r in chat.digests(chat.format_rows(table)).collect()}
+    assert {i: digest[i].n_turns for i in (1, 2, 3, 4)} == {1: 11, 2: 4, 3: 0, 4: 4}
+
+
 def test_chat_query(spark):
     found = {r.conv_id: r for r in chat.op7_chat(spark, SMALL).collect()}
     rows = defaultdict(list)
@@ -389,6 +464,71 @@ def test_toxicity(spark, docs, no_docs):
     assert {r.score for r in toxicity.score(docs, nothing).collect()} == {0.0}
 
 
+def plain_score(model, text):
+    """The document score of a fitted chain, word by word."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    shapes = [toxicity.features(w, model.evidence) for w in words]
+    weights = []
+    for i, (a, b) in enumerate(shapes):
+        weight = model.own[a] + model.own[b]
+        weight += model.before[list(shapes[i - 1])].sum() if i else 0
+        weight += model.after[list(shapes[i + 1])].sum() if i + 1 < len(words) else 0
+        weights.append(np.array([1.0, np.exp(np.clip(weight, -30, 30))]))
+    move = np.exp(model.transitions - model.transitions.max())
+    ahead, behind = [], [np.ones(2)]
+    for i, local in enumerate(weights):
+        state = local if not i else (ahead[-1] @ move) * local
+        ahead.append(state / state.sum())
+    for local in weights[:0:-1]:
+        state = move @ (behind[-1] * local)
+        behind.append(state / state.sum())
+    joint = [a * b for a, b in zip(ahead, behind[::-1])]
+    chances = np.array([j[1] / j.sum() for j in joint])
+    expected = chances[chances >= toxicity.FLOOR].sum()
+    inputs = np.array([1.0, np.log(expected + 0.01), np.log(expected + 0.01) - np.log(len(words) + 20)])
+    found = 1 / (1 + np.exp(-np.clip(inputs @ model.calibration, -40, 40)))
+    return found if (chances >= 0.5).any() else min(found, toxicity.UNFLAGGED)
+
+
+def test_document_scores_against_a_plain_chain(spark):
+    draw = random.Random(13)
+    rows = []
+    for i in range(200):
+        words = ["".join(draw.choice("bcdaeiou") for _ in range(4)) for _ in range(draw.randint(20, 200))]
+        if i % 4 == 0:
+            words[5:7] = draw.choice([["Vile", "vile."], ["awful", "ok"], ["x", "AWFUL"]])
+        rows.append((i, " ".join(words)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(table, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int"))
+    assert not isinstance(model, float)
+    scored = toxicity.score(table, model).collect()
+    assert {r.score >= 0.5 for r in scored} == {True, False}
+    for row in scored:
+        assert row.score == pytest.approx(plain_score(model, row.row.text or ""), abs=1e-9)
+
+
+def test_a_long_clean_text_stays_clean(spark):
+    draw = random.Random(12)
+    rows = [(i, " ".join("".join(draw.choice("bcdaeiou") for _ in range(4)) for _ in range(60))) for i in range(200)]
+    rows = [(i, text.replace(text.split()[9], "vile", 1) if i % 4 == 0 else text) for i, text in rows]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(table, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int"))
+    long = [(i, " ".join([text] * 1000)) for i, text in rows[1:4]]
+    found = toxicity.score(spark.createDataFrame(long, "doc_id bigint, text string"), model).collect()
+    assert all(r.score < 0.5 and not r.spans for r in found)
+
+
+def test_an_item_that_fills_the_benchmark(spark):
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    items = [(100 + i, item.upper() if i % 2 else f" {item}\t") for i in range(300)] + [(1, "another item that is quite long indeed"), (2, "")]
+    blocks = list(decontamination.item_blocks(spark.createDataFrame(items, "item_id bigint, text string"), block_bytes=40))
+    assert len(blocks) > 1
+    assert sorted(x for block in blocks for x in block) == [(1, "another item that is quite long indeed"), (100, item)]
+    docs = spark.createDataFrame([(1, f"so {item.title()}!"), (2, "clean"), (3, None)], "doc_id bigint, text string")
+    found = decontamination.find_items(docs, spark.createDataFrame(items, "item_id bigint, text string"), block_bytes=40)
+    assert {r.row.doc_id: [f.item_id for f in r.found] for r in found.collect()} == {1: [100], 2: [], 3: []}
+
+
 def test_winnowing_against_a_plain_version():
     draw = random.Random(6)
     for size in (0, 1, 31, 32, 33, 140, 900):
