@@ -11,8 +11,8 @@ Two lines that differ in at most d places are equal in one of d + 1 runs of the
 leading ones. So lines only meet in the buckets of their runs, and buckets of one line are dropped at
 once. All leaves, and all lines of a leaf that have no bucket in common, are worked on at the same time:
 in each round the lines that come first in all their buckets are hubs, for no line before them can be
-alike, and every line that meets one is compared with it. A line that is alike to a hub will not be one,
-but waits for hubs further ahead. There are as many rounds as hubs have to wait for each other, at most
+alike, and every line that meets one is compared with it. A line that is alike to a hub will not be one;
+it only goes on in buckets where a line ahead of that hub may still become one. There are as many rounds as hubs have to wait for each other, at most
 as many as one bucket has hubs, however many a leaf has. Lines are known by their rank in the order,
 so a round moves numbers, and the lines of pairs to compare.
 
@@ -85,23 +85,28 @@ def _templates(texts: DataFrame, depth: int, similar: float) -> DataFrame:
     lines = texts.select("rank", "line")
     hub_lines = lines.toDF("hub", "hub_line")
     found = []
-    entries = saved(_buckets(texts, depth, similar).withColumn("is_open", F.lit(True)), "entries")
-    while not entries.filter("is_open").isEmpty():
-        heads = entries.filter("is_open").groupBy("bucket").agg(F.min("rank").alias("hub"))
+    # ``best`` is the first hub that a line is alike to so far; a line without one is open.
+    best = F.lit(None).cast("bigint").alias("best")
+    entries = saved(_buckets(texts, depth, similar).select("bucket", "rank", best), "entries")
+    while not entries.filter("best IS NULL").isEmpty():
+        heads = entries.filter("best IS NULL").groupBy("bucket").agg(F.min("rank").alias("hub"))
         met = entries.join(heads, "bucket")
-        waits = met.filter("is_open").groupBy("rank").agg(F.max(F.col("hub") < F.col("rank")).alias("waits"))
+        waits = met.filter("best IS NULL").groupBy("rank").agg(F.max(F.col("hub") < F.col("rank")).alias("waits"))
         hubs = saved(waits.filter("NOT waits").select(F.col("rank").alias("hub")), "hubs")
         pairs = met.filter("rank <> hub").select("rank", "hub").distinct().join(hubs, "hub", "left_semi")
         alike = saved(
             pairs.join(lines, "rank").join(hub_lines, "hub").filter(is_alike).select("rank", "hub"), "alike"
         )
         found.append(alike)
-        named = alike.groupBy("rank").agg(F.lit(True).alias("is_named"))
-        left = entries.join(hubs.withColumnRenamed("hub", "rank"), "rank", "left_anti").join(named, "rank", "left")
-        left = left.withColumn("is_open", F.col("is_open") & F.col("is_named").isNull()).drop("is_named")
-        # Buckets without an open line decide nothing more.
-        going = left.filter("is_open").select("bucket").distinct()
-        entries = saved(left.join(going, "bucket", "left_semi").select("bucket", "rank", "is_open"), "entries")
+        news = alike.groupBy("rank").agg(F.min("hub").alias("new")).unionAll(
+            hubs.select(F.col("hub").alias("rank"), F.lit(-1).cast("bigint").alias("new"))
+        )
+        left = entries.join(news, "rank", "left").filter("new IS NULL OR new >= 0")
+        left = left.select("bucket", "rank", F.least("best", "new").alias("best"))
+        # A line goes on in a bucket that has an open line ahead of its best hub; an open line in any.
+        first = left.filter("best IS NULL").groupBy("bucket").agg(F.min("rank").alias("first"))
+        going = left.join(first, "bucket").filter("best IS NULL OR first < best")
+        entries = saved(going.select("bucket", "rank", "best"), "entries")
     none = texts.limit(0).select("rank", F.col("rank").alias("hub"))
     return reduce(DataFrame.unionAll, found, none).groupBy("rank").agg(F.min("hub").alias("hub"))
 
