@@ -14,7 +14,7 @@ its arc; ranks are counted in parts, so a text with a third of all rows is sprea
 
 Law: ``rows``. Defined results: a null text has no bytes and the place of an empty one; a null id is
 ranked as the text 'null'; of equal rows any may come first; an empty table gives no rows; further
-columns are ignored by the query and kept by :func:`shard`'s ``keep``, whatever their names.
+columns are ignored by the query and kept by :func:`shard`'s ``keep``.
 """
 
 from __future__ import annotations
@@ -134,8 +134,8 @@ def shard(
     """``doc_id, size, text_crc32, home, shard, slot`` of every row, and its columns in ``keep``.
 
     ``home`` is the shard of the ring without bounds; ``slot`` counts the rows of a shard from 0. Columns
-    in ``keep`` come back under their own names, whatever these are; a result of the same name is then
-    called ``sharding_<name>``.
+    in ``keep`` come back under their own names; one that is named like a result comes back as
+    ``document_<name>``.
     """
     spark = docs.sparkSession
     kept = [name for name in keep if name != "doc_id"]
@@ -170,10 +170,17 @@ def shard(
         "home": F.col("home"), "shard": F.col("shard"),
         "slot": F.col("base") + F.col("one_before") - F.col("low"),
     }
-    taken = {name.lower() for name in kept}
+    taken = {*results, *[name.lower() for name in kept if name.lower() not in results]}
+    names = []
+    for name in kept:
+        own = name
+        while name.lower() in results and own.lower() in taken:
+            own = f"document_{own}"
+        taken.add(own.lower())
+        names.append(own)
     return sharded.join(F.broadcast(homes), "arc").select(
-        *[value.alias(f"sharding_{name}" if name in taken else name) for name, value in results.items()],
-        *[F.col(f"_row._{i}").alias(name) for i, name in enumerate(kept)],
+        *[value.alias(name) for name, value in results.items()],
+        *[F.col(f"_row._{i}").alias(name) for i, name in enumerate(names)],
     )
 
 
