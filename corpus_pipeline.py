@@ -8,8 +8,9 @@
    is there several times, one that it does not take is not. Texts without words are never taken.
 5. ``sharding``: every row gets a shard and a slot in it.
 
-Each stage keeps all columns of documents, further ones too, whatever their names. Rows that share an id
-but not their text are documents of their own; of equal rows one stays. Empty tables run through.
+Each stage keeps all columns of documents, further ones too; one that is named like a result of sharding
+comes back as ``document_<name>``. Rows that share an id but not their text are documents of their own; of
+equal rows one stays. Empty tables run through.
 """
 
 from __future__ import annotations
