@@ -9,12 +9,13 @@ all of them. Everything is built of DataFrame functions.
 
 Two lines that differ in at most d places are equal in one of d + 1 runs of the places behind the
 leading ones. So lines only meet in the buckets of their runs, and buckets of one line are dropped at
-once. All leaves, and all lines of a leaf that have no bucket in common, are worked on at the same time:
-in each round the lines that come first in all their buckets are hubs, for no line before them can be
-alike, and every line that meets one is compared with it. A line that is alike to a hub will not be one;
-it only goes on in buckets where a line ahead of that hub may still become one. There are as many rounds as hubs have to wait for each other, at most
-as many as one bucket has hubs, however many a leaf has. Lines are known by their rank in the order,
-so a round moves numbers, and the lines of pairs to compare.
+once. All leaves are worked on at the same time. In each round the lines of a bucket are compared with
+its heads, the first few lines of it without a hub. A line that is a head in all its buckets and unlike
+all heads ahead of it is a hub, for no line before it can be alike. A line that is alike to a hub will
+not be one; it only goes on in buckets where a line ahead of that hub may still become one. A bucket has
+two heads at first and two more for every hub that it had, so that the rounds grow with the logarithm of
+the hubs of a bucket, and no line is compared with more than about three times the hubs before it. Lines
+are known by their rank in the order, so a round moves numbers, and the lines of pairs to compare.
 
 Each text is tokenised once. What is shuffled is hashes of lines, each different line of the leaves that
 hold several of them, and the texts, once, to drop lines from them. Counts are made of distinct pairs,
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailtrim.llm.common import WORD, columns_or_null, saved, table
@@ -38,6 +39,10 @@ from tailtrim.llm.common import WORD, columns_or_null, saved, table
 DEPTH = 3
 SIMILAR = 0.8
 LEAST_DOCS = 2
+# Open lines of a bucket that its lines are compared with in the first round, and at most in any; only
+# the number of rounds depends on them.
+FIRST_HEADS = 2
+MOST_HEADS = 1000
 VARIABLE = "<*>"
 # Tokens with a digit, told at their first character; possessive, so nothing is tried twice.
 _WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
@@ -79,34 +84,50 @@ def _buckets(texts: DataFrame, depth: int, similar: float) -> DataFrame:
 
 def _templates(texts: DataFrame, depth: int, similar: float) -> DataFrame:
     """``rank, hub`` of the lines that are alike to a hub: the rank of the first such one."""
-    tokens = [F.split(name, " ") for name in ("line", "hub_line")]
+    tokens = [F.split(name, " ") for name in ("line", "head_line")]
     equal = F.size(F.filter(F.zip_with(*tokens, lambda a, b: a == b), lambda same: same))
     is_alike = equal >= F.lit(similar) * F.size(tokens[0])
     lines = texts.select("rank", "line")
-    hub_lines = lines.toDF("hub", "hub_line")
-    found = []
-    # ``best`` is the first hub that a line is alike to so far; a line without one is open.
-    best = F.lit(None).cast("bigint").alias("best")
-    entries = saved(_buckets(texts, depth, similar).select("bucket", "rank", best), "entries")
-    while not entries.filter("best IS NULL").isEmpty():
-        heads = entries.filter("best IS NULL").groupBy("bucket").agg(F.min("rank").alias("hub"))
-        met = entries.join(heads, "bucket")
-        waits = met.filter("best IS NULL").groupBy("rank").agg(F.max(F.col("hub") < F.col("rank")).alias("waits"))
-        hubs = saved(waits.filter("NOT waits").select(F.col("rank").alias("hub")), "hubs")
-        pairs = met.filter("rank <> hub").select("rank", "hub").distinct().join(hubs, "hub", "left_semi")
+    head_lines = lines.toDF("head", "head_line")
+    is_open = F.col("best").isNull()
+    turn = F.row_number().over(Window.partitionBy("bucket").orderBy("rank"))
+    found, most = [], FIRST_HEADS
+    # ``best`` is the first hub that a line is alike to so far; a line without one is open. ``passed``
+    # counts the hubs that a bucket had: the more, the more of its open lines are heads at a time.
+    entries = _buckets(texts, depth, similar).select(
+        "bucket", "rank", F.lit(None).cast("bigint").alias("best"), F.lit(0).cast("bigint").alias("passed")
+    )
+    entries = saved(entries, "entries")
+    while not entries.filter(is_open).isEmpty():
+        first = entries.filter(is_open).withColumn("turn", turn).filter(F.col("turn") <= most)
+        first = first.filter(F.col("turn") <= FIRST_HEADS + 2 * F.col("passed"))
+        heads = first.groupBy("bucket").agg(F.collect_list("rank").alias("heads"))
+        ahead = F.filter("heads", lambda head: head < F.least("rank", "best"))
+        met = entries.join(heads, "bucket").select(
+            "rank", is_open.alias("is_open"), F.array_contains("heads", F.col("rank")).alias("is_head"), ahead.alias("ahead")
+        )
+        met = saved(met, "met")
+        pairs = met.select("rank", F.explode("ahead").alias("head")).distinct()
         alike = saved(
-            pairs.join(lines, "rank").join(hub_lines, "hub").filter(is_alike).select("rank", "hub"), "alike"
+            pairs.join(lines, "rank").join(head_lines, "head").filter(is_alike).select("rank", "head"), "alike"
         )
-        found.append(alike)
-        news = alike.groupBy("rank").agg(F.min("hub").alias("new")).unionAll(
-            hubs.select(F.col("hub").alias("rank"), F.lit(-1).cast("bigint").alias("new"))
+        # A hub is an open line that all open lines ahead of it, in all its buckets, are unlike.
+        ready = met.filter("is_open").groupBy("rank").agg(F.min("is_head").alias("ready")).filter("ready")
+        hubs = saved(ready.select(F.col("rank").alias("head")).join(
+            alike.select(F.col("rank").alias("head")), "head", "left_anti"), "hubs")
+        named = saved(alike.join(hubs, "head", "left_semi").groupBy("rank").agg(F.min("head").alias("hub")), "named")
+        found.append(named)
+        news = named.unionAll(hubs.select(F.col("head").alias("rank"), F.lit(-1).cast("bigint").alias("hub")))
+        left = entries.join(news, "rank", "left").select(
+            "bucket", "rank", F.least("best", "hub").alias("best"), "passed"
         )
-        left = entries.join(news, "rank", "left").filter("new IS NULL OR new >= 0")
-        left = left.select("bucket", "rank", F.least("best", "new").alias("best"))
         # A line goes on in a bucket that has an open line ahead of its best hub; an open line in any.
-        first = left.filter("best IS NULL").groupBy("bucket").agg(F.min("rank").alias("first"))
-        going = left.join(first, "bucket").filter("best IS NULL OR first < best")
-        entries = saved(going.select("bucket", "rank", "best"), "entries")
+        state = left.groupBy("bucket").agg(
+            F.min(F.when(is_open, F.col("rank"))).alias("first"), F.count_if(F.col("best") == -1).alias("new")
+        )
+        going = left.join(state.filter("first IS NOT NULL"), "bucket").filter("best IS NULL OR first < best")
+        entries = saved(going.select("bucket", "rank", "best", (F.col("passed") + F.col("new")).alias("passed")), "entries")
+        most = min(3 * most, MOST_HEADS)
     none = texts.limit(0).select("rank", F.col("rank").alias("hub"))
     return reduce(DataFrame.unionAll, found, none).groupBy("rank").agg(F.min("hub").alias("hub"))
 
