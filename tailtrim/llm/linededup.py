@@ -17,8 +17,8 @@ two heads at first and two more for every hub that it had, so that the rounds gr
 the hubs of a bucket, and no line is compared with more than about three times the hubs before it. Lines
 are known by their rank in the order, so a round moves numbers, and the lines of pairs to compare.
 
-Each text is tokenised once. What is shuffled is hashes of lines, each different line of the leaves that
-hold several of them, and the texts, once, to drop lines from them. Counts are made of distinct pairs,
+Each text is tokenised once. What is shuffled is hashes of lines, the lines, once, to find those of the
+leaves that hold several different ones, and the texts, once, to drop lines from them. Counts are made of distinct pairs,
 pre-aggregated, so a line with a third of all rows is no hot group.
 
 Defined results: a null or empty text has no lines and stays empty; blank lines are never dropped and
@@ -143,7 +143,7 @@ def recurring_lines(
     # A leaf with several lines may hold a template of several documents; else a line's own count tells.
     several = bodies.groupBy("leaf").agg(F.count("*").alias("bodies")).filter("bodies > 1").select("leaf")
     some = saved(bodies.join(several, "leaf", "left_semi"), "some")
-    texts = lines.select(*_LINE, "line").join(some.select(*_LINE), [*_LINE], "left_semi")
+    texts = lines.select(*_LINE, "line").join(some.select(*_LINE).hint("merge"), [*_LINE], "left_semi")
     texts = texts.groupBy(*_LINE).agg(F.min("line").alias("line")).join(some, [*_LINE])
     # Ranks ascend in the order of the lines, over all leaves; written down, they stay as they are.
     ordered = texts.orderBy(F.desc("docs"), "line").withColumn("rank", F.monotonically_increasing_id())
@@ -172,8 +172,8 @@ def drop_recurring_lines(docs: DataFrame, **settings) -> DataFrame:
     ).withColumn("tie", F.xxhash64("text"))
     # Equal rows count once; a line of a document is a place, so a set is bounded by the document.
     dropped = recurring_lines(docs, **settings).groupBy(*_DOC).agg(F.collect_set("place").alias("dropped"))
-    # Written first, so that its size is known and the texts need no shuffle where it is small.
-    dropped = saved(dropped, "dropped")
+    # What is dropped grows with the texts, so that it is never broadcast: the plan is alike at every size.
+    dropped = saved(dropped, "dropped").hint("merge")
     none = F.array().cast("array<int>")
     joined = docs.join(dropped, [*_DOC], "left").withColumn("dropped", F.coalesce("dropped", none))
     lines = joined.withColumn("lines", F.split("text", "\n", -1))
