@@ -13,8 +13,8 @@ once. All leaves are worked on at the same time. In each round the lines of a bu
 its heads, the first few lines of it without a hub. A line that is a head in all its buckets and unlike
 all heads ahead of it is a hub, for no line before it can be alike. A line that is alike to a hub will
 not be one; it only goes on in buckets where a line ahead of that hub may still become one. A bucket has
-two heads at first and two more for every hub that it had, so that the rounds grow with the logarithm of
-the hubs of a bucket, and no line is compared with more than about three times the hubs before it. Lines
+two heads at first and two more for every hub that it had (``MOST_HEADS`` at a time), so that there are far
+fewer rounds than hubs in a bucket. Heads that wait for another bucket are compared once more. Lines
 are known by their rank in the order, so a round moves numbers, and the lines of pairs to compare.
 
 Each text is tokenised once. What is shuffled is hashes of lines, the lines, once, to find those of the
