@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 from hashlib import blake2b
 
@@ -60,6 +60,10 @@ UNFLAGGED = 0.49
 BEGINNINGS = (5, 6, 7)
 STEPS = 150
 BLOCK = 64
+# Parts in which the hashes of the sample's words are counted.
+HASH_PARTS = 16
+# Texts of the sample that the driver tags at once to calibrate the score.
+CALIBRATED_AT_ONCE = 50
 
 # Features of a word: what it says for toxicity, in steps, and how it is written.
 EVIDENCE_STEPS = 8
@@ -85,6 +89,10 @@ def plain(word: str) -> str:
     return _EDGES.sub("", word).lower()
 
 
+def bare_words(text: str) -> set[str]:
+    return {plain(w) for w in _WORD.findall(text)} - {""}
+
+
 def units(bare: str) -> list[str]:
     """A word as a whole, marked at its end, and its beginnings."""
     return [bare + "$", *[bare[:size] for size in BEGINNINGS if len(bare) >= size]]
@@ -118,7 +126,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]],
     return sorted((r.text, r.toxic) for r in rows), prior
 
 
-def _families(word_sets: list[np.ndarray]) -> list[int]:
+def _families(word_sets: Iterable[np.ndarray]) -> list[int]:
     """A number for each document; near copies, which agree in several minimal hashes, share one."""
     family: list[int] = []
     known: dict[tuple[int, int], int] = {}
@@ -141,22 +149,42 @@ def _hashed(texts: set[str] | list[str]) -> np.ndarray:
     return np.array(found, np.uint64)
 
 
+def _counted(families: Iterable[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The units of all families, sorted, and in how many families each is.
+
+    A part of the hashes is counted at a time, so that no array of all units of all families is made.
+    """
+    once = [np.unique(np.concatenate(found)) for found in families]
+    bounds = np.arange(1, HASH_PARTS, dtype=np.uint64) * np.uint64(2**64 // HASH_PARTS)
+    cuts = [[0, *np.searchsorted(units, bounds).tolist(), len(units)] for units in once]
+    counted = []
+    for part in range(HASH_PARTS):
+        here = [units[cut[part] : cut[part + 1]] for units, cut in zip(once, cuts)]
+        counted.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *here]), return_counts=True))
+    found, counts = zip(*counted)
+    return np.concatenate(found), np.concatenate(counts)
+
+
 def _evidence(sample: list[tuple[str, int]]) -> tuple[dict[str, float], set[str]]:
     """Log odds, of toxic against clean families, of words and beginnings; the telling ones.
 
-    Words are counted as hashes, which keeps this small; those that matter are then named again.
+    Words are counted as hashes, which keeps this small; those that matter are then named again. The
+    driver holds the words of one document at a time.
     """
-    word_sets = [{plain(w) for w in _WORD.findall(text)} - {""} for text, _ in sample]
-    family = _families([_hashed(words) for words in word_sets])
+    unit_sets: list[np.ndarray] = []
+
+    def word_sets() -> Iterator[np.ndarray]:
+        for text, _ in sample:
+            words = bare_words(text)
+            unit_sets.append(_hashed({unit for word in words for unit in units(word)}))
+            yield _hashed(words)
+
+    family = _families(word_sets())
     of_families: list[dict[int, list[np.ndarray]]] = [defaultdict(list), defaultdict(list)]
-    for words, own, (_, toxic) in zip(word_sets, family, sample):
-        of_families[toxic][own].append(_hashed({unit for word in words for unit in units(word)}))
+    for found, own, (_, toxic) in zip(unit_sets, family, sample):
+        of_families[toxic][own].append(found)
     totals = [max(len(f), 1) for f in of_families]
-    counted = []
-    for families in of_families:
-        once = [np.unique(np.concatenate(found)) for found in families.values()]
-        counted.append(np.unique(np.concatenate(once or [np.zeros(0, np.uint64)]), return_counts=True))
-    (clean_units, clean_counts), (found_units, toxic_counts) = counted
+    (clean_units, clean_counts), (found_units, toxic_counts) = [_counted(f.values()) for f in of_families]
     place = np.minimum(np.searchsorted(clean_units, found_units), max(len(clean_units) - 1, 0))
     clean = np.zeros(len(found_units), np.int64)
     if len(clean_units):
@@ -173,9 +201,9 @@ def _evidence(sample: list[tuple[str, int]]) -> tuple[dict[str, float], set[str]
     use &= is_telling | (ratio >= ABOVE_CHANCE)
     by_hash = dict(zip(found_units[use].tolist(), zip(value[use].tolist(), is_telling[use].tolist())))
     odds, telling = {}, set()
-    for words, (_, toxic) in zip(word_sets, sample):
+    for text, toxic in sample:
         if toxic:
-            named = list({unit for word in words for unit in units(word)})
+            named = list({unit for word in bare_words(text) for unit in units(word)})
             for unit, key in zip(named, _hashed(named).tolist()):
                 if key in by_hash:
                     odds[unit], tells = by_hash[key]
@@ -235,8 +263,9 @@ def _windows(
             part = words[start : start + width]
             if part:
                 pad = width - len(part)
-                rows.append([features(w, evidence) for w in part] + [(0, EVIDENCE_STEPS)] * pad)
-                tags.append(marks[start : start + width] + [-1] * pad)
+                # As small arrays: lists of pairs would take the driver ten times as much.
+                rows.append(np.array([features(w, evidence) for w in part] + [(0, EVIDENCE_STEPS)] * pad, np.int8))
+                tags.append(np.array(marks[start : start + width] + [-1] * pad, np.int8))
     return np.array(rows, np.int64), np.array(tags, np.int64)
 
 
@@ -430,8 +459,8 @@ def _calibrate(model: ToxicityModel, sample: list[tuple[str, int]]) -> np.ndarra
     """Weights of the score by Newton's method on the log loss of the sample."""
     tagger = Tagger(model)
     parts = []
-    for first in range(0, len(sample), 200):
-        chances, counts = tagger.chances(pa.array([text for text, _ in sample[first : first + 200]]))
+    for first in range(0, len(sample), CALIBRATED_AT_ONCE):
+        chances, counts = tagger.chances(pa.array([text for text, _ in sample[first : first + CALIBRATED_AT_ONCE]]))
         parts.append(_summary(_expected(chances, counts), counts))
     inputs = np.concatenate(parts)
     labels = np.array([label for _, label in sample], float)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
@@ -435,6 +436,24 @@ def test_chain_against_enumeration():
     assert np.allclose(whole[0], found[first:])
 
 
+def test_the_driver_holds_the_words_of_one_document_of_the_sample():
+    sample = [(" ".join(["vile"] * (i % 2) + [f"word{i}x{j}" for j in range(300)]), i % 2) for i in range(200)]
+    tracemalloc.start()
+    try:
+        odds, telling = toxicity._evidence(sample)
+        _, counting = tracemalloc.get_traced_memory()
+        tracemalloc.reset_peak()
+        windows, tags = toxicity._windows(sample, {unit: 7 for unit in telling}, telling)
+        _, cutting = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert telling == {"vile$"} and odds["vile$"] > toxicity.LEAST_EVIDENCE
+    assert windows.shape == (200, 64, 2) and tags.sum() == 100
+    # Bytes for each of the 60,000 different words and of the words in stretches.
+    assert counting / 60_000 < 120
+    assert cutting / tags.size < 160
+
+
 def test_toxicity(spark, docs, no_docs):
     draw = random.Random(4)
     rows, labels = [], []
